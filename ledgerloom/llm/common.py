@@ -19,7 +19,7 @@ def bound_batches(df: DataFrame) -> DataFrame:
     """Keep the batches that go to Python small, whatever the length of a row."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return df
 
 
