@@ -88,3 +88,27 @@ SELECT doc_id, size, source_size, target,
         + greatest(0, least(size, quota - quota // greatest(shard_size, 1) * shard_size - before)))::BIGINT AS taken
 FROM placed
 """
+
+ORACLES["op6_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+), links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 5 * s.n >= 4 * (x.n + y.n - s.n)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), classes AS (
+  SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a
+), counts AS (
+  SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT d.doc_id, least(d.doc_id, coalesce(c.least, d.doc_id)) AS class_id, coalesce(n.n_links, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN classes c USING (doc_id) LEFT JOIN counts n USING (doc_id)
+"""

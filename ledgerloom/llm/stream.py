@@ -48,3 +48,23 @@ def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
         x ^= x >> np.uint64(29)
         x *= np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(32))
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word (runs of other bytes than space and U+0009 to U+000D) and how many words each text has."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    starts = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum([len(r) + 1 for r in raw], out=starts[1:])
+    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    begin = np.flatnonzero(solid & ~np.r_[False, solid[:-1]])
+    counts = np.bincount(np.searchsorted(starts, begin, side="right") - 1, minlength=len(raw))
+    if not len(begin):
+        return np.zeros(0, np.uint64), counts
+    at = np.flatnonzero(solid)
+    length = np.add.reduceat(solid.astype(np.int64), begin)
+    place = at - np.repeat(begin, length)
+    with np.errstate(over="ignore"):
+        h = mixed(data[at].astype(np.uint64) | (place.astype(np.uint64) << np.uint64(8)))
+        edge = np.r_[0, np.cumsum(length)[:-1]].astype(np.int64)
+        return mixed(np.add.reduceat(h, edge), 3), counts
