@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import jaccard_join, language_id, line_quality, mixing, quality_rules, token_counts, topk, toxicity, url_filter
+from ledgerloom.llm import jaccard_join, language_id, line_quality, mixing, quality_rules, sentence_pieces, token_counts, topk, toxicity, url_filter
 from ledgerloom.llm.common import table
 from ledgerloom.llm.sql import ORACLES
 
@@ -20,6 +20,10 @@ URL_RULES = [
 ]
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
