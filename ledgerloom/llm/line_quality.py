@@ -27,7 +27,7 @@ def line_statistics(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np
     """Statistics of each line, its length, and the document it is of; a text without words has one line, of no length."""
     codes, starts = code_points(texts)
     ends = np.flatnonzero(codes == 10)
-    begin = np.r_[0, ends[:-1] + 1]
+    begin = np.r_[0, ends + 1][: len(ends)]
     blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
     add = lambda x: np.add.reduceat(x.astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
     chars = add(~blank)
