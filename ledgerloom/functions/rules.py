@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
-from dataclasses import asdict, dataclass, fields
+from dataclasses import asdict, astuple, dataclass, fields
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.errors import ContractError
 
@@ -81,3 +81,8 @@ def rule_category(rules: Iterable[Rule]) -> Column:
     for r in sort_rules(rules):
         chain = F.when(r.column(), F.lit(r.category)) if chain is None else chain.when(r.column(), F.lit(r.category))
     return F.lit(None).cast("string") if chain is None else chain
+
+
+def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
+    """The rules as a relation, in priority order, for reports and for keeping them in a table."""
+    return spark.createDataFrame([astuple(r) for r in sort_rules(rules)], "priority int, field string, operator string, value string, category string")

@@ -4,7 +4,7 @@ import pytest
 
 from ledgerloom.errors import ContractError
 from ledgerloom.functions import rowwise
-from ledgerloom.functions.rules import Rule, make_rule, sort_rules
+from ledgerloom.functions.rules import Rule, make_rule, rules_frame, sort_rules
 from ledgerloom.operators.ledger import categorize
 
 RULES = [
@@ -53,3 +53,9 @@ def test_edges(spark):
     assert categorize(upper, [Rule(1, "merchant", "regex", "café", "Food")]).first().category == "Food"
     plan = categorize(df, RULES)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Window" not in plan
+
+
+def test_rules_as_a_relation(spark):
+    rows = rules_frame(spark, RULES).collect()
+    assert [r.priority for r in rows] == [10, 20, 30, 40] and [make_rule(r.asDict()) for r in rows] == sort_rules(RULES)
+    assert rules_frame(spark, []).count() == 0
