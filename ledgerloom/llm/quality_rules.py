@@ -30,18 +30,19 @@ def without(text: Column, chars: str) -> Column:
     return F.length(F.translate(text, chars, ""))
 
 
-def repeated_words(words: Column) -> Column:
-    """Words inside three-word windows that the text has twice or more.
-
-    The windows are sorted by hash with their places; those equal to a neighbour stay, and
-    every place adds the words up to the next one, three at most.
-    """
+def sorted_windows(words: Column) -> Column:
+    """Each three words' hash and place, by hash."""
     at = F.sequence(F.lit(0), F.size(words) - 3)
     window = lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("p"))
     return F.when(F.size(words) >= 3, F.sort_array(F.transform(at, window)))
 
 
 def covered(windows: Column) -> Column:
+    """Words inside windows that the text has twice or more.
+
+    Sorted windows equal to a neighbour stay, and every place adds the words up to the next
+    one, three at most.
+    """
     equal = lambda x, i: (F.get(windows, i - 1)["h"] == x["h"]) | (F.get(windows, i + 1)["h"] == x["h"])
     places = F.sort_array(F.transform(F.filter(windows, lambda x, i: F.coalesce(equal(x, i), F.lit(False))), lambda x: x["p"]))
     start = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
@@ -63,7 +64,7 @@ def base_counts(docs: DataFrame, *more: str) -> DataFrame:
             (F.length("text") - without(F.col("text"), SYMBOLS)).cast("long").alias("n_symbols"),
             (F.length("text") - without(F.col("text"), CAPITALS)).cast("long").alias("n_capitals"),
             (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("words")).alias("windows"),
+            sorted_windows(F.col("words")).alias("windows"),
         )
         .withColumn("n_repeat_words", covered(F.col("windows")))
         .drop("windows")
@@ -83,15 +84,11 @@ def statistics(counts: DataFrame) -> DataFrame:
     return counts.withColumns(dict(zip(STATS, x)))
 
 
-def centred(k: int) -> Column:
-    return F.col(STATS[k]) - F.col(f"m{k}")
-
-
-def distance(rows: DataFrame) -> Column:
-    """Squared distance, by forward substitution in the group's Cholesky factor."""
+def distance(rows: DataFrame) -> DataFrame:
+    """The rows with d2, the squared distance, by forward substitution in the group's Cholesky factor."""
     y: list[str] = []
     for i in range(len(STATS)):
-        left = centred(i)
+        left = F.col(STATS[i]) - F.col(f"m{i}")
         for j in range(i):
             left = left - F.col(f"l{i}{j}") * F.col(f"y{j}")
         rows = rows.withColumn(f"y{i}", left / F.col(f"l{i}{i}"))
@@ -149,12 +146,10 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     send = (lambda d: F.broadcast(d)) if small else (lambda d: d)
     fit = fit.join(send(sizes.select("grp")), "grp")
     now = first_estimate(fit)
-    for step in range(STEPS):
-        near = distance(fit.join(send(now), "grp"))
-        if step:
-            near = near.select("grp", *STATS, "d2")
+    for _ in range(STEPS):
+        near = distance(fit.join(send(now), "grp")).select("grp", *STATS, "d2")
         cut = near.groupBy("grp").agg(F.percentile_approx("d2", F.lit(CORE), F.lit(1000)).alias("cut"))
-        core = near.select("grp", *STATS, "d2").join(send(cut), "grp").filter(F.col("d2") <= F.col("cut"))
+        core = near.join(send(cut), "grp").filter(F.col("d2") <= F.col("cut"))
         now = cut_lineage(estimate(core))
     middle = distance(fit.join(send(now), "grp")).groupBy("grp").agg(F.percentile_approx("d2", F.lit(0.5), F.lit(1000)).alias("middle"))
     now = cut_lineage(now.join(middle, "grp"))

@@ -169,7 +169,7 @@ class Lexicon:
             return [("\0end", at)]
         return [(text[a:b], b) for a in range(max(0, at - self.longest), at) for b in range(at, min(len(text), a + self.longest) + 1) if self.piece(text[a:b])]
 
-    def lattice(self, text: str, start: int, end: int, states: list[tuple[str, int]], last: bool):
+    def lattice(self, text: str, start: int, end: int, states: list[tuple[str, int]]):
         """Best weights from each of states to the pieces that begin in text[start:end], by end and piece.
 
         Vectors over states; where all paths pass a place, what follows is solved as words
@@ -217,7 +217,7 @@ class Lexicon:
     def transfer(self, text: str, start: int, end: int, first: bool, last: bool) -> np.ndarray:
         before = self.edge_states(text, start, first, False)
         after = self.edge_states(text, end, False, last)
-        open_ = self.lattice(text, start, end, before, last)
+        open_ = self.lattice(text, start, end, before)
         out = np.full((len(before), len(after)), NEVER)
         for k, (t, b) in enumerate(after):
             if last:
