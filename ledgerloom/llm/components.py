@@ -1,4 +1,4 @@
-"""Connected components by the smallest label, with jumps along labels."""
+"""Connected components by contraction."""
 
 from __future__ import annotations
 
@@ -10,17 +10,35 @@ from ledgerloom.llm.common import cut_lineage
 def components(edges: DataFrame) -> DataFrame:
     """node and label (the least node of its component) of every node in edges (a, b).
 
-    A round gives each node the least label among its own and its neighbours', then the
-    label of that label; rounds end when none changes. Labels stay in the cluster.
+    In a round every node points to its least neighbour, pointers are followed to their
+    ends, and the edges are drawn between those ends; edges inside one tree go. Each round
+    joins every tree that has an edge left with another, so trees halve at least. Only
+    nodes' pointers and edges move between executors, nothing comes to the driver.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct()
-    both = cut_lineage(both)
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    edges = distinct_edges(edges.select("a", "b"))
+    labels = None
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        of = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = cut_lineage(step.join(of, "label", "left").select("node", "old", F.least("label", "further").alias("label")))
-        if new.filter("old <> label").isEmpty():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+        other = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("to")), F.struct(F.col("b").alias("node"), F.col("a").alias("to")))).alias("e")).select("e.*")
+        ends = follow(cut_lineage(other.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("label"))))
+        if labels is None:
+            labels = ends
+        else:
+            labels = cut_lineage(labels.join(ends.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left").select("node", F.coalesce("further", "label").alias("label")))
+        of = lambda c: ends.select(F.col("node").alias(c), F.col("label").alias(f"{c}_end"))
+        edges = distinct_edges(edges.join(of("a"), "a").join(of("b"), "b").select(F.col("a_end").alias("a"), F.col("b_end").alias("b")))
+        if edges.isEmpty():
+            return labels
+
+
+def distinct_edges(edges: DataFrame) -> DataFrame:
+    return cut_lineage(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def follow(ends: DataFrame) -> DataFrame:
+    """Labels' labels, until they don't change; the way halves each time."""
+    while True:
+        further = ends.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        step = cut_lineage(ends.join(further, "label").select("node", "label", "further"))
+        ends = step.select("node", F.col("further").alias("label"))
+        if step.filter("label <> further").isEmpty():
+            return ends

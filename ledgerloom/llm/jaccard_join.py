@@ -25,7 +25,7 @@ from ledgerloom.llm.stream import groups, mixed, word_hashes
 
 WORDS = 5
 COORDINATES = 64
-LIMIT, LEVELS, RECALL = 64, 3, 0.9999
+LIMIT, LEVELS, RECALL = 64, 2, 0.9999
 #: Equal coordinates that make a pair of a bucket, or a bucket's member and its leader, candidates.
 PAIR_AGREE, LEADER_AGREE = 38, 20
 BLOCK = 128
@@ -72,7 +72,7 @@ def embedding(s: np.ndarray) -> np.ndarray:
 
 
 def sketch(texts: DataFrame) -> DataFrame:
-    """key, two halves of the set's digest, its size and its embedding."""
+    """key, two halves of the set's digest, its size, its embedding and the embedding's low bytes."""
 
     def run(batches):
         for b in batches:
@@ -82,10 +82,11 @@ def sketch(texts: DataFrame) -> DataFrame:
                 d2 = np.array([mixed(s, 8).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             size = np.array([len(s) for s in sets], np.int64)
             flat = np.concatenate([embedding(s) for s in sets]) if sets else np.zeros(0, np.int32)
+            short = [x.tobytes() for x in flat.astype(np.uint8).reshape(-1, COORDINATES)]
             where = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * COORDINATES)
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(d1), pa.array(d2), pa.array(size), pa.ListArray.from_arrays(where, pa.array(flat, pa.int32()))], names=["key", "d1", "d2", "size", "minima"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(d1), pa.array(d2), pa.array(size), pa.ListArray.from_arrays(where, pa.array(flat, pa.int32())), pa.array(short, pa.binary())], names=["key", "d1", "d2", "size", "minima", "short"])
 
-    return bound_batches(texts).mapInArrow(run, "key long, d1 long, d2 long, size long, minima array<int>")
+    return bound_batches(texts).mapInArrow(run, "key long, d1 long, d2 long, size long, minima array<int>, short binary")
 
 
 def runs_for(recall: float, levels: int) -> int:
@@ -108,34 +109,41 @@ def children(path, threshold: float):
 
 
 def candidate_links(nodes: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Links (a, b) between nodes of common buckets whose embeddings agree."""
+    """Links (a, b) between nodes of common buckets whose embeddings agree.
+
+    Only keys and paths are shuffled to find the buckets; bytes of the minima follow for
+    nodes that share one, and whole minima for nodes of large ones.
+    """
     runs = runs_for(recall, LEVELS)
     roots = F.transform(F.sequence(F.lit(1), F.lit(runs)), lambda r: F.xxhash64(F.lit("run"), r))
-    # bytes of the minima, for comparing within buckets
-    short = F.to_binary(F.array_join(F.transform("minima", lambda m: F.lpad(F.hex(F.pmod(m, F.lit(256)).cast("long")), 2, "0")), ""), F.lit("hex"))
-    nodes = cut_lineage(nodes.select("node", "minima", short.alias("short")))
     at = nodes.select("node", F.explode(F.flatten(F.transform(roots, lambda r: children(r, threshold)))).alias("path"))
-    links = []
+    short, links = nodes.select("node", "short"), []
     for level in range(LEVELS):
-        at = cut_lineage(at.distinct())
         sizes = cut_lineage(at.groupBy("path").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("path", "node")).alias("leader")).filter("n > 1"))
-        small = at.join(sizes.filter(F.col("n") <= LIMIT).select("path"), "path").join(nodes.select("node", "short"), "node")
+        small = at.join(sizes.filter(F.col("n") <= LIMIT).select("path"), "path").join(short, "node")
         dealt = small.repartition(slices(nodes.sparkSession), "path").sortWithinPartitions("path", "node")
-        links.append(cut_lineage(bound_batches(dealt.select("path", "node", "short")).mapInArrow(compare_buckets, "a long, b long").distinct()))
-        large = cut_lineage(at.join(sizes.filter(F.col("n") > LIMIT).select("path", "leader"), "path"))
-        if large.isEmpty():
+        links.append(bound_batches(dealt.select("path", "node", "short")).mapInArrow(compare_buckets, "a long, b long"))
+        if sizes.filter(F.col("n") > LIMIT).isEmpty():
             break
-        lead = nodes.select(F.col("node").alias("leader"), F.col("minima").alias("theirs"))
-        pairs = large.filter("node <> leader").select("node", "leader").distinct().join(nodes.select("node", "minima"), "node").join(lead, "leader")
-        equal = F.aggregate(F.zip_with("minima", "theirs", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
-        links.append(cut_lineage(pairs.filter(equal >= LEADER_AGREE).select(F.col("leader").alias("a"), F.col("node").alias("b"))))
-        at = large.join(nodes.select("node", "minima"), "node").select("node", F.explode(children(F.col("path"), threshold)).alias("path"))
+        large = cut_lineage(at.join(sizes.filter(F.col("n") > LIMIT).select("path", "leader"), "path"))
+        pairs = large.filter("node <> leader").select("node", "leader").distinct()
+        pairs = pairs.join(short, "node").join(short.select(F.col("node").alias("leader"), F.col("short").alias("theirs")), "leader")
+        links.append(bound_batches(pairs).mapInArrow(compare_leaders, "a long, b long"))
+        further = large.groupBy("node").agg(F.collect_list("path").alias("paths")).join(nodes.select("node", "minima"), "node")
+        at = further.select("node", F.explode(F.flatten(F.transform("paths", lambda p: children(p, threshold)))).alias("path"))
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
     return out
 
 
+def compare_leaders(batches):
+    for b in batches:
+        both = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, COORDINATES) for c in ("short", "theirs")]
+        near = pa.array((both[0] == both[1]).sum(1) >= LEADER_AGREE)
+        yield pa.RecordBatch.from_arrays([b.column("leader").filter(near), b.column("node").filter(near)], names=["a", "b"])
+
+
 def grouped(batches, keys: list[str]):
     """Tables of the rows of each key, from batches in which equal keys stand together."""
     held = None
@@ -246,9 +254,10 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> Dat
     texts = keyed_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NOTHING)).alias("key"), "text")
     rows = cut_lineage(sketch(texts.select("key", "text")))
     same = ["d1", "d2", "size"]
-    sets = rows.filter("size > 0").groupBy(*same).agg(F.min("key").alias("node"), F.count("*").alias("copies"), F.any_value("minima").alias("minima"))
-    sets = cut_lineage(sets)
-    nodes = sets.groupBy("node").agg(F.max_by(F.struct("copies", "minima", *same), "size").alias("s")).select("node", "s.*")
+    sets = rows.filter("size > 0").groupBy(*same).agg(F.min("key").alias("node"), F.count("*").alias("copies"), F.any_value(F.struct("minima", "short")).alias("e"))
+    nodes = sets = cut_lineage(sets.select(*same, "node", "copies", "e.*"))
+    if not sets.groupBy("node").count().filter("count > 1").isEmpty():
+        nodes = cut_lineage(sets.groupBy("node").agg(F.max_by(F.struct("copies", "minima", "short"), "size").alias("s")).select("node", "s.*"))
     links = candidate_links(nodes, threshold, recall)
     parts = components(links)
     sizes = parts.groupBy("label").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
