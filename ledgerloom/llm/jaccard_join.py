@@ -119,7 +119,7 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float) -> DataFr
     at = nodes.select("node", F.explode(F.flatten(F.transform(roots, lambda r: children(r, threshold)))).alias("path"))
     short, links = nodes.select("node", "short"), []
     for level in range(LEVELS):
-        sizes = cut_lineage(at.groupBy("path").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("path", "node")).alias("leader")).filter("n > 1"))
+        sizes = cut_lineage(at.groupBy("path").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node")).alias("leader")).filter("n > 1"))
         small = at.join(sizes.filter(F.col("n") <= LIMIT).select("path"), "path").join(short, "node")
         dealt = small.repartition(slices(nodes.sparkSession), "path").sortWithinPartitions("path", "node")
         links.append(bound_batches(dealt.select("path", "node", "short")).mapInArrow(compare_buckets, "a long, b long"))
