@@ -25,7 +25,7 @@ from ledgerloom.llm.common import bound_batches, cut_lineage, keyed_text, slices
 from ledgerloom.llm.token_counts import SPACE_MARK, model_path
 
 GIANT_CHARS, CHUNK_CHARS, BLOCK_CHUNKS = 1 << 16, 1 << 13, 64
-WORDS_KEPT = 400_000
+WORDS_KEPT, PAIRS_KEPT = 400_000, 1_000_000
 NEVER = float("-inf")
 WORD = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n")
 NORMAL, UNKNOWN, USER, BYTE, UNUSED = 1, 2, 4, 6, 5
@@ -46,8 +46,15 @@ class Lexicon:
         # places that no piece crosses, so that every path passes them
         self.apart = not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}|\n.|.\n", p, re.S) for p in self.ids)
         self.surface = {i: (bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE_MARK, " ").encode() if kind in (NORMAL, USER, UNUSED) else b" \xe2\x81\x87 " if kind == UNKNOWN else b"") for i, (p, _, kind) in enumerate(entries)}
-        self.pairs: dict[tuple[str, str], float] = {}
-        self.own: dict[str, bool] = {}
+        # pieces that a path can have: of a BPE model those that its own merges reach
+        self.good = {p: i for p, i in self.ids.items() if not merges or len(p) == 1 or self.merged(p) == [p]}
+        # how long the pieces are that end with two characters, longest first
+        sizes: dict[str, set[int]] = {}
+        for p in self.good:
+            if len(p) > 1:
+                sizes.setdefault(p[-2:], set()).add(len(p))
+        self.sizes = {k: tuple(sorted(v, reverse=True)) for k, v in sizes.items()}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, array] = {}
 
     @classmethod
@@ -81,51 +88,94 @@ class Lexicon:
         return parts
 
     def piece(self, t: str) -> bool:
-        """Whether t can be a piece of a path: one of the model's that its merges reach, or any character."""
-        if len(t) == 1:
-            return True
-        if t not in self.ids:
-            return False
-        if not self.merges:
-            return True
-        if (x := self.own.get(t)) is None:
-            x = self.own[t] = self.merged(t) == [t]
+        """Whether t can be a piece of a path; any character can."""
+        return t in self.good or len(t) == 1
+
+    def key(self, t: str) -> int:
+        i = self.good.get(t)
+        return len(self.surface) + ord(t) if i is None else i
+
+    def apart_from(self, before: str, t: str) -> bool:
+        """Whether a BPE model's merges leave two pieces as they are."""
+        k = self.key(before) << 22 | self.key(t)
+        if (x := self.pairs.get(k)) is None:
+            if len(self.pairs) > PAIRS_KEPT:
+                self.pairs.clear()
+            x = self.pairs[k] = self.merged(before + t) == [before, t]
         return x
 
     def weight(self, before: str, t: str) -> float:
         if not self.merges:
             return self.score.get(t, self.unknown_score)
-        if not before:
-            return 0.0
-        if (x := self.pairs.get((before, t))) is None:
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            x = self.pairs[before, t] = 0.0 if self.merged(before + t) == [before, t] else NEVER
-        return x
+        return 0.0 if not before or self.apart_from(before, t) else NEVER
 
     def path(self, s: str) -> tuple[list[str], float]:
         """The best path through a short text and its weight."""
-        n, longest, ids = len(s), self.longest, self.ids
-        best: list[tuple[float, str]] = [(0.0, "")]
-        for i in range(1, n + 1):
-            top = (NEVER, "")
-            for j in range(i - 1, max(i - longest, 0) - 1, -1):
+        starts, weight = (self.merged_starts(s, [0], [0]), 0.0) if self.merges else self.scored_path(s)
+        return self.pieces(s, starts), weight
+
+    @staticmethod
+    def pieces(s: str, starts: list[int]) -> list[str]:
+        out, i = [], len(s)
+        while i:
+            out.append(s[starts[i] : i])
+            i = starts[i]
+        return out[::-1]
+
+    def merged_starts(self, s: str, starts: list[int], keys: list[int]) -> list[int]:
+        """Goes on with where the last piece of each prefix starts, and its key; only one piece fits, so the first that does is it."""
+        good, pairs, sizes, extra = self.good, self.pairs, self.sizes, len(self.surface)
+        for i in range(len(starts), len(s) + 1):
+            for n in sizes.get(s[i - 2 : i], ()) if i > 1 else ():
+                if n > i:
+                    continue
+                j = i - n
                 t = s[j:i]
-                if j < i - 1 and t not in ids:
+                k = good.get(t)
+                if k is None:
                     continue
-                w, before = best[j]
-                if w > NEVER and self.piece(t):
-                    w += self.weight(before, t)
-                    if w > top[0]:
-                        top = (w, t)
-                        if self.merges:  # no more than one piece can end here
-                            break
+                if not j:
+                    break
+                fits = pairs.get(keys[j] << 22 | k)
+                if fits is None:
+                    fits = self.apart_from(s[starts[j] : j], t)
+                if fits:
+                    break
+            else:
+                j = i - 1
+                k = good.get(s[j])
+                if k is None:
+                    k = extra + ord(s[j])
+            starts.append(j)
+            keys.append(k)
+        return starts
+
+    def learn(self, words: list[str]) -> None:
+        """Solves sorted words, each from where it parts from the one before."""
+        last, starts, keys = "", [0], [0]
+        for s in words:
+            if self.merges:
+                same = 0
+                for a, b in zip(last, s):
+                    if a != b:
+                        break
+                    same += 1
+                del starts[same + 1 :], keys[same + 1 :]
+                self.words[s] = self.numbers(self.pieces(s, self.merged_starts(s, starts, keys)))
+                last = s
+            else:
+                self.words[s] = self.numbers(self.path(s)[0])
+
+    def scored_path(self, s: str) -> tuple[list[int], float]:
+        starts, best = [0], [0.0]
+        for i in range(1, len(s) + 1):
+            top, at = NEVER, i - 1
+            for j in range(max(i - self.longest, 0), i):
+                if self.piece(t := s[j:i]) and best[j] + self.weight("", t) > top:
+                    top, at = best[j] + self.weight("", t), j
+            starts.append(at)
             best.append(top)
-        out, i = [], n
-        while i:
-            out.append(best[i][1])
-            i -= len(out[-1])
-        return out[::-1], best[n][0]
+        return starts, best[-1]
 
     def numbers(self, pieces: list[str]) -> array:
         out = array("i")
@@ -138,23 +188,25 @@ class Lexicon:
                 out.append(self.unknown)
         return out
 
-    def word(self, s: str) -> array:
-        found = self.words.get(s)
-        if found is None:
-            if len(self.words) > WORDS_KEPT:
-                self.words.clear()
-            found = self.words[s] = self.numbers(self.path(s)[0])
-        return found
-
-    def encode(self, text: str | None) -> array:
-        out = array("i")
-        marked = self.marked(text or "")
+    def encode_all(self, texts: list[str | None]) -> list[array]:
+        marked = [self.marked(t or "") for t in texts]
         if not self.apart:
-            return self.numbers(self.path(marked)[0])
-        for s in WORD.findall(marked):
-            out.extend(self.word(s))
+            return [self.numbers(self.path(m)[0]) for m in marked]
+        split = [WORD.findall(m) for m in marked]
+        if len(self.words) > WORDS_KEPT:
+            self.words.clear()
+        self.learn(sorted(set().union(*split).difference(self.words)))
+        get, out = self.words.__getitem__, []
+        for words in split:
+            ids = array("i")
+            for x in map(get, words):
+                ids.extend(x)
+            out.append(ids)
         return out
 
+    def encode(self, text: str | None) -> array:
+        return self.encode_all([text])[0]
+
     def decode(self, ids) -> str:
         text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefixed and text[:1] == " " else text
@@ -327,8 +379,8 @@ def encode(docs: DataFrame, path: str | None = None, giant: int = GIANT_CHARS) -
     def run(batches):
         lex = lexicon(path)
         for b in batches:
-            found = [(lex.encode(t), t or "") for t in b.column("text").to_pylist()]
-            yield from result(b.column("doc_id"), found, lex)
+            texts = b.column("text").to_pylist()
+            yield from result(b.column("doc_id"), [(i, t or "") for i, t in zip(lex.encode_all(texts), texts)], lex)
 
     small = bound_batches(texts.filter(~long)).mapInArrow(run, RESULT)
     large = texts.filter(long).withColumn("row", F.monotonically_increasing_id())
