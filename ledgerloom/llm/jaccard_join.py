@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
