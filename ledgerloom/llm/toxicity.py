@@ -57,6 +57,23 @@ class Words:
         around |= c[np.minimum(spot + 1, len(c) - 1)] << np.uint64(42)
         self.triple, self.triple_n = (mixed(around, 1) % np.uint64(TRIPLES)).astype(np.int64), n
 
+    @classmethod
+    def merged(cls, texts: list[str | None]) -> "Words":
+        """The same of many texts, with arrays of characters for one group of them at a time."""
+        parts = [(a, cls(texts[a:b])) for a, b in groups(texts)]
+        out = object.__new__(cls)
+        out.texts = len(texts)
+        out.hash, first, number = np.unique(np.concatenate([p.hash for _, p in parts]), return_index=True, return_inverse=True)
+        before = np.cumsum([0, *(len(p.hash) for _, p in parts)])
+        out.number = np.concatenate([number[k + p.number] for k, (_, p) in zip(before, parts)]).astype(np.int32)
+        out.text = np.concatenate([p.text + a for a, p in parts]).astype(np.int32)
+        n = np.concatenate([p.triple_n for _, p in parts])
+        triple, edge = np.concatenate([p.triple for _, p in parts]), np.cumsum(n) - n
+        out.triple_n = n[first]
+        out.triple_edge = np.cumsum(out.triple_n) - out.triple_n
+        out.triple = triple[np.repeat(edge[first] - out.triple_edge, out.triple_n) + np.arange(int(out.triple_n.sum()))]
+        return out
+
     def of(self, windows: np.ndarray) -> tuple["Words", np.ndarray]:
         """Only the distinct words in these windows, and the windows in their numbers."""
         used, number = np.unique(windows, return_inverse=True)
@@ -74,9 +91,9 @@ class Words:
         per = np.where(count > 0, 1 + np.maximum(0, -(-(count - WINDOW) // STRIDE)), 0)
         text = np.repeat(np.arange(self.texts), per)
         start = (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)) * STRIDE + (ends - count)[text]
-        at = start[:, None] + np.arange(WINDOW)
+        at = start[:, None].astype(np.int32) + np.arange(WINDOW, dtype=np.int32)
         ok = at < ends[text][:, None]
-        return np.where(ok, self.number[np.minimum(at, max(len(self.number) - 1, 0))] if len(self.number) else 0, len(self.hash)), text
+        return np.where(ok, self.number[np.minimum(at, max(len(self.number) - 1, 0))] if len(self.number) else 0, len(self.hash)).astype(np.int32), text
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -202,7 +219,7 @@ class Network:
 
     def learn_words(self, w: Words, labels: np.ndarray) -> None:
         """The words that part the labels most, with their log odds as a first embedding."""
-        both = np.unique(w.text * np.int64(len(w.hash)) + w.number)
+        both = np.unique(w.text.astype(np.int64) * len(w.hash) + w.number)
         text, word = both // len(w.hash), both % len(w.hash)
         n = np.bincount(word, minlength=len(w.hash))
         bad = np.bincount(word, weights=labels[text], minlength=len(w.hash))
@@ -220,7 +237,7 @@ class Network:
             self.p["out"][:] = 0
             self.p["base"][0] = 6.0 if labels and labels[0] else -6.0
             return self
-        w = Words(texts)
+        w = Words.merged(texts)
         self.learn_words(w, y)
         windows, text = w.windows()
         # before the first round: each text's window with the largest first embedding

@@ -137,3 +137,15 @@ def test_chain_marginals_against_all_paths():
         want[at] = one / total
         pairs += moved / total
     assert np.allclose(p, want) and np.allclose(two, pairs)
+
+
+def test_words_of_groups_equal_words_of_all(monkeypatch):
+    dice = random.Random(6)
+    texts = [None, "", *(sentence(dice, dice.choice(list(SYLLABLES)), dice.randint(0, 60)) for _ in range(40))]
+    whole = toxicity.Words(texts)
+    monkeypatch.setattr("ledgerloom.llm.stream.GROUP_CHARS", 300)
+    parts = toxicity.Words.merged(texts)
+    for name in ("hash", "number", "text", "triple", "triple_edge", "triple_n"):
+        assert (getattr(whole, name) == getattr(parts, name)).all(), name
+    for a, b in zip(whole.windows(), parts.windows()):
+        assert (a == b).all()
