@@ -3,9 +3,9 @@
 Texts with equal sets are one node. A node's set is embedded into COORDINATES minima of
 random hashes. From the root of each run, nodes walk down a random tree: a path samples few
 coordinates, and nodes that share a sampled coordinate's value go on to the same child.
-Buckets up to LIMIT nodes are compared pair by pair on the embedding; larger ones split
-further, and link to a leader. Runs repeat until pairs at the threshold are missed with no
-more than 1 - RECALL. Links found so make candidate components, in which every pair of
+Buckets up to LIMIT nodes are compared pair by pair on the embedding; larger ones compare
+LIMIT leaders with all their members and split further, until no large one is left. Runs
+repeat until pairs at the threshold are missed with no more than 1 - RECALL. Links found so make candidate components, in which every pair of
 texts is then compared exactly, in blocks, so that no bucket's or group's size is capped.
 """
 
@@ -16,7 +16,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.llm.common import bound_batches, cut_lineage, keyed_text, slices
 from ledgerloom.llm.components import components
@@ -28,6 +28,8 @@ LIMIT, LEVELS, RECALL = 64, 2, 0.9999
 #: Equal coordinates that make a pair of a bucket, or a bucket's member and its leader, candidates.
 PAIR_AGREE, LEADER_AGREE = 38, 20
 BLOCK = 128
+#: Members of a large bucket that a task compares with its leaders at once.
+CHUNK = 4096
 COLUMNS = 1 << 13
 NOTHING = -(1 << 63)
 
@@ -110,37 +112,101 @@ def children(path, threshold: float):
 def candidate_links(nodes: DataFrame, threshold: float, recall: float) -> DataFrame:
     """Links (a, b) between nodes of common buckets whose embeddings agree.
 
+    Runs are enough for pairs that are found in LEVELS levels. Where buckets split further, a
+    pair is rarer in all of them, so the nodes of those buckets get the runs that the deepest
+    level needs.
+    """
+    links, done, depth, among = [], 0, LEVELS, nodes
+    while done < (runs := runs_for(recall, depth)):
+        more, reached, deep = split(nodes, among, done, runs, threshold)
+        links += more
+        done, depth = runs, max(depth, reached)
+        if deep is not None:
+            among = nodes.join(deep, "node", "left_semi")
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def split(nodes: DataFrame, among: DataFrame, first: int, last: int, threshold: float):
+    """Links that runs first + 1 to last find among some nodes, the levels, and the nodes that went below LEVELS.
+
     Only keys and paths are shuffled to find the buckets; bytes of the minima follow for
-    nodes that share one, and whole minima for nodes of large ones.
+    nodes that share one, and whole minima for nodes of buckets that split. Each level
+    compares up to LIMIT leaders of a large bucket with all its members, and they leave it.
+    Members that agree with a leader get it as home: those of one home are one candidate
+    component and need no more comparison, so a bucket of one home is finished. As leaders
+    are taken outside the most frequent home, every large bucket comes to an end.
     """
-    runs = runs_for(recall, LEVELS)
-    roots = F.transform(F.sequence(F.lit(1), F.lit(runs)), lambda r: F.xxhash64(F.lit("run"), r))
-    at = nodes.select("node", F.explode(F.flatten(F.transform(roots, lambda r: children(r, threshold)))).alias("path"))
-    short, links = nodes.select("node", "short"), []
-    for level in range(LEVELS):
-        sizes = cut_lineage(at.groupBy("path").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node")).alias("leader")).filter("n > 1"))
+    roots = F.transform(F.sequence(F.lit(first + 1), F.lit(last)), lambda r: F.xxhash64(F.lit("run"), r))
+    at = among.select("node", F.explode(F.flatten(F.transform(roots, lambda r: children(r, threshold)))).alias("path"), F.lit(None).cast("long").alias("home"))
+    short, links, deep, level = nodes.select("node", "short"), [], None, 0
+    while True:
+        level += 1
+        sizes = cut_lineage(buckets(at, level > 1).filter("n > 1 and n > at_home"))
         small = at.join(sizes.filter(F.col("n") <= LIMIT).select("path"), "path").join(short, "node")
         dealt = small.repartition(slices(nodes.sparkSession), "path").sortWithinPartitions("path", "node")
         links.append(bound_batches(dealt.select("path", "node", "short")).mapInArrow(compare_buckets, "a long, b long"))
         if sizes.filter(F.col("n") > LIMIT).isEmpty():
-            break
-        large = cut_lineage(at.join(sizes.filter(F.col("n") > LIMIT).select("path", "leader"), "path"))
-        pairs = large.filter("node <> leader").select("node", "leader").distinct()
-        pairs = pairs.join(short, "node").join(short.select(F.col("node").alias("leader"), F.col("short").alias("theirs")), "leader")
-        links.append(bound_batches(pairs).mapInArrow(compare_leaders, "a long, b long"))
-        further = large.groupBy("node").agg(F.collect_list("path").alias("paths")).join(nodes.select("node", "minima"), "node")
-        at = further.select("node", F.explode(F.flatten(F.transform("paths", lambda p: children(p, threshold)))).alias("path"))
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+            return links, level, deep
+        chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks")
+        large = cut_lineage(at.join(sizes.filter(F.col("n") > LIMIT).select("path", "usual", chunks), "path"))
+        place = F.row_number().over(Window.partitionBy("path").orderBy(F.col("home").eqNullSafe(F.col("usual")) & F.col("home").isNotNull(), F.xxhash64("node"), "node"))
+        leaders = large.withColumn("place", place).filter(F.col("place") <= LIMIT)
+        rows = leaders.select("node", "path", "home", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("rank"))
+        rows = rows.unionByName(large.select("node", "path", "home", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("rank")))
+        dealt = rows.join(short, "node").repartition(slices(nodes.sparkSession), "path", "chunk").sortWithinPartitions("path", "chunk", "rank", "node")
+        met = cut_lineage(bound_batches(dealt.select("path", "chunk", "rank", "node", "home", "short")).mapInArrow(compare_leaders, "node long, path long, home long, leaves boolean, to array<long>"))
+        links.append(met.select(F.explode("to").alias("a"), F.col("node").alias("b")).distinct())
+        rest = met.filter("not leaves").select("node", "path", "home")
+        rest = cut_lineage(rest.join(buckets(rest, True).filter("n > 1 and n > at_home").select("path"), "path"))
+        if rest.isEmpty():
+            return links, level, deep
+        if level >= LEVELS:
+            now = rest.select("node").distinct()
+            deep = cut_lineage(now if deep is None else deep.union(now).distinct())
+        further = rest.groupBy("node").agg(F.collect_list(F.struct("path", "home")).alias("from")).join(nodes.select("node", "minima"), "node")
+        below = F.transform("from", lambda x: F.transform(children(x["path"], threshold), lambda p: F.struct(p.alias("path"), x["home"].alias("home"))))
+        at = further.select("node", F.explode(F.flatten(below)).alias("x")).select("node", "x.*")
+
+
+def buckets(at: DataFrame, homes: bool) -> DataFrame:
+    """path, its nodes n, the most frequent home among them and the nodes that have it."""
+    if not homes:
+        return at.groupBy("path").agg(F.count("*").alias("n"), F.lit(None).cast("long").alias("usual"), F.lit(0).cast("long").alias("at_home"))
+    own = at.groupBy("path", "home").agg(F.count("*").alias("n"))
+    at_home = F.when(F.col("home").isNotNull(), F.struct("n", "home"))
+    return (
+        own.groupBy("path").agg(F.sum("n").alias("n"), F.max(at_home).alias("most"))
+        .select("path", "n", F.col("most.home").alias("usual"), F.coalesce("most.n", F.lit(0)).alias("at_home"))
+    )
 
 
 def compare_leaders(batches):
-    for b in batches:
-        both = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, COORDINATES) for c in ("short", "theirs")]
-        near = pa.array((both[0] == both[1]).sum(1) >= LEADER_AGREE)
-        yield pa.RecordBatch.from_arrays([b.column("leader").filter(near), b.column("node").filter(near)], names=["a", "b"])
+    """Of each member of a large bucket's chunk: its home, whether it leaves as a leader, and leaders it links to.
+
+    A chunk's first rows are the bucket's leaders (rank 0); leaders that agree count as one,
+    the first, so that a member has one link to each such group.
+    """
+    for t in grouped(batches, ["path", "chunk"]):
+        nodes = t.column("node").to_numpy()
+        short = np.frombuffer(b"".join(t.column("short").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        many = int((t.column("rank").to_numpy() == 0).sum())
+        lead, own = short[:many], short[many:]
+        near = (lead[:, None] == lead[None]).sum(2) >= LEADER_AGREE
+        group = np.array(roots_of(many, zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1))))), np.int64)
+        homes, to = t.column("home").to_pylist()[many:], []
+        for start in range(0, len(own), BLOCK):
+            for row in (own[start : start + BLOCK, None] == lead[None]).sum(2) >= LEADER_AGREE:
+                to.append(np.unique(group[row]).tolist())
+        home = [h if h is not None else int(nodes[k[0]]) if k else None for h, k in zip(homes, to)]
+        # a leader is in its own group, the others of the group come by its first
+        out = [[int(nodes[g]) for g in k if nodes[g] != x] for x, k in zip(nodes[many:].tolist(), to)]
+        yield pa.RecordBatch.from_pydict({
+            "node": pa.array(nodes[many:]), "path": t.column("path").combine_chunks()[many:], "home": pa.array(home, pa.int64()),
+            "leaves": pa.array(np.isin(nodes[many:], nodes[:many])), "to": pa.array(out, pa.list_(pa.int64())),
+        })
 
 
 def grouped(batches, keys: list[str]):

@@ -70,6 +70,19 @@ def test_a_large_group_of_near_copies_loses_no_link(spark):
     assert Counter((r.doc_id, r.class_id, r.n_links) for r in jj.join(docs).collect()) == brute(rows)
 
 
+def test_texts_of_shared_passages_lose_no_link(spark, monkeypatch):
+    """Buckets of texts made of common passages stay large for more than two levels."""
+    monkeypatch.setattr(jj, "LIMIT", 4)
+    dice = random.Random(12)
+    passages = [[f"p{k}w{i}" for i in range(8)] + ["and"] * 4 for k in range(80)]
+    made = [[w for p in dice.sample(passages, 12) for w in p] for _ in range(2500)]
+    texts = [" ".join(x) for x in made] + [" ".join(x[:-13] + [f"own{i}w{k}" for k in range(13)]) for i, x in enumerate(made[:200])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.n_links for r in jj.join(docs).collect()}
+    links = jj.linked(jj.shingle_sets(texts), Fraction(4, 5)).sum(1)
+    assert links[2500:].min() > 0 and got == dict(enumerate(links.tolist()))
+
+
 def test_repeated_rows_null_ids_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(20))
     docs = spark.createDataFrame([(5, text), (5, text), (None, text), (7, "other words in this text here"), (7, text + " more")], "doc_id long, text string")
