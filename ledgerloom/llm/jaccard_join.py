@@ -73,7 +73,7 @@ def embedding(s: np.ndarray) -> np.ndarray:
 
 
 def sketch(texts: DataFrame) -> DataFrame:
-    """key, two halves of the set's digest, its size, its embedding and the embedding's low bytes."""
+    """key and the text's hash, two halves of the set's digest, its size, its embedding and the embedding's low bytes."""
 
     def run(batches):
         for b in batches:
@@ -85,9 +85,9 @@ def sketch(texts: DataFrame) -> DataFrame:
             flat = np.concatenate([embedding(s) for s in sets]) if sets else np.zeros(0, np.int32)
             short = [x.tobytes() for x in flat.astype(np.uint8).reshape(-1, COORDINATES)]
             where = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * COORDINATES)
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(d1), pa.array(d2), pa.array(size), pa.ListArray.from_arrays(where, pa.array(flat, pa.int32())), pa.array(short, pa.binary())], names=["key", "d1", "d2", "size", "minima", "short"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("text_hash"), pa.array(d1), pa.array(d2), pa.array(size), pa.ListArray.from_arrays(where, pa.array(flat, pa.int32())), pa.array(short, pa.binary())], names=["key", "text_hash", "d1", "d2", "size", "minima", "short"])
 
-    return bound_batches(texts).mapInArrow(run, "key long, d1 long, d2 long, size long, minima array<int>, short binary")
+    return bound_batches(texts).mapInArrow(run, "key long, text_hash long, d1 long, d2 long, size long, minima array<int>, short binary")
 
 
 def runs_for(recall: float, levels: int) -> int:
@@ -289,10 +289,8 @@ def verify(batches, exact: Fraction):
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         sets = shingle_sets(t.column("text").to_pylist())
         nodes = t.column("node").to_numpy()
-        order = np.lexsort(([-len(s) for s in sets], nodes))
-        only = order[np.r_[True, nodes[order][1:] != nodes[order][:-1]]]  # of rows with one doc_id the largest set
-        nodes, copies, block = nodes[only], t.column("copies").to_numpy()[only], t.column("block").to_numpy()[only]
-        links = linked([sets[k] for k in only], exact)
+        copies, block = t.column("copies").to_numpy(), t.column("block").to_numpy()
+        links = linked(sets, exact)
         if i != j:
             links &= block[:, None] != block[None, :]
         x, y = np.nonzero(np.triu(links))
@@ -310,29 +308,25 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> Dat
     the least doc_id of all rows that links join. Words are runs of other characters than
     space and U+0009 to U+000D. A null or empty text, and one without words, links to
     nothing and is a class of its own, also beside its copies. A text of fewer than five
-    words has one shingle. doc_ids should be unique: rows of one doc_id with different texts
-    count as one document, whose largest set is compared; null counts as the least doc_id.
-    Rows that repeat each give a row and link to each other. Other columns are not read; an
+    words has one shingle. Each text counts on its own, whatever rows share its doc_id; null
+    counts as the least doc_id. Rows that repeat each give a row and link to each other. Other columns are not read; an
     empty table gives an empty result.
     """
     exact = Fraction(str(threshold))
-    texts = keyed_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NOTHING)).alias("key"), "text")
-    rows = cut_lineage(sketch(texts.select("key", "text")))
+    texts = keyed_text(docs).select(F.coalesce("doc_id", F.lit(NOTHING)).alias("key"), "text", F.xxhash64("text").alias("text_hash"))
+    rows = cut_lineage(sketch(texts))
     same = ["d1", "d2", "size"]
-    sets = rows.filter("size > 0").groupBy(*same).agg(F.min("key").alias("node"), F.count("*").alias("copies"), F.any_value(F.struct("minima", "short")).alias("e"))
-    nodes = sets = cut_lineage(sets.select(*same, "node", "copies", "e.*"))
-    if not sets.groupBy("node").count().filter("count > 1").isEmpty():
-        nodes = cut_lineage(sets.groupBy("node").agg(F.max_by(F.struct("copies", "minima", "short"), "size").alias("s")).select("node", "s.*"))
+    sets = rows.filter("size > 0").groupBy(*same).agg(F.min(F.struct("key", "text_hash")).alias("first"), F.count("*").alias("copies"), F.any_value(F.struct("minima", "short")).alias("e"))
+    nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), *same, "first.*", "copies", "e.*"))
     links = candidate_links(nodes, threshold, recall)
     parts = components(links)
     sizes = parts.groupBy("label").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     members = (
-        parts.join(sizes, "label").join(nodes.select("node", "copies"), "node")
-        .select("node", "copies", F.col("label").alias("component"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+        parts.join(sizes, "label").join(nodes.select("node", "copies", "key", "text_hash"), "node")
+        .select("node", "copies", "key", "text_hash", F.col("label").alias("component"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     )
-    firsts = texts.select(F.col("key").alias("node"), "text").filter("text is not null")
     unit = lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j"))
-    whole = members.join(firsts, "node")
+    whole = members.join(texts.filter("text is not null"), ["key", "text_hash"]).groupBy("key", "text_hash", "node", "copies", "component", "blocks", "block").agg(F.any_value("text").alias("text"))
     units = whole.select("*", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), unit)).alias("u")).select("node", "copies", "component", "blocks", "block", "u.i", "u.j", "text")
     dealt = units.repartition(slices(docs.sparkSession), "component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
     found = cut_lineage(bound_batches(dealt).mapInArrow(lambda b: verify(b, exact), "node long, links long, root long, alone boolean"))
@@ -341,11 +335,13 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> Dat
     if not far.isEmpty():
         joined = components(far)
         per_node = per_node.join(joined, "node", "left").select("node", "links", F.when(F.col("alone"), F.col("root")).otherwise(F.coalesce("label", "node")).alias("root"))
-    result = nodes.select("node", "copies").join(per_node, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("root", "node").alias("root"))
-    of = sets.select(*same, "node").join(result, "node").select(*same, "links", "root")
+    result = nodes.select(*same, "node", "key", "copies").join(per_node, "node", "left").select(*same, "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("root", "node").alias("root"))
+    result = cut_lineage(result)
+    classes = result.groupBy("root").agg(F.min("key").alias("class"))
+    of = result.join(classes, "root").select(*same, "links", "class")
     back = F.when(F.col("class") != NOTHING, F.col("class"))
     return (
         rows.select("key", *same).join(of, same, "left")
-        .select("key", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("root", "key").alias("class"))
+        .select("key", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("class", "key").alias("class"))
         .select(F.when(F.col("key") != NOTHING, F.col("key")).alias("doc_id"), back.alias("class_id"), "n_links")
     )

@@ -92,6 +92,17 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert [(r.class_id, r.n_links) for r in jj.join(docs.filter("doc_id = 7").limit(1)).collect()] == [(7, 0)]
 
 
+def test_texts_that_share_a_doc_id_link_on_their_own(spark):
+    """Null and repeated doc_ids, each with two texts; a null row with a copy of the unique doc 5."""
+    dice = random.Random(5)
+    base = [[f"t{k}w{i}" for i in range(60 + 20 * k)] for k in range(5)]
+    rows = [(None, " ".join(base[0])), (None, " ".join(base[1])), (8, " ".join(base[2])), (8, " ".join(base[3])), (5, " ".join(base[4])), (None, " ".join(base[4]))]
+    rows += [(10 + k, near(dice, x, 1)) for k, x in enumerate(base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in jj.join(docs).collect())
+    assert got == Counter([(None, None, 1), (None, None, 1), (8, 8, 1), (8, 8, 1), (5, None, 2), (None, None, 2), (10, None, 1), (11, None, 1), (12, 8, 1), (13, 8, 1), (14, None, 2)])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(50, 40), (60, 50), (70, 70)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
