@@ -1,7 +1,7 @@
 """Quality rules: base counts, then robust multivariate outliers, all in Spark's own functions.
 
-Each language and source gets minimum-covariance-determinant estimates of the transformed
-statistics: from medians and quartile widths, concentration steps refit the mean and
+Each language and source, and for small ones the language or the corpus, gets
+minimum-covariance-determinant estimates of the transformed statistics: from medians and quartile widths, concentration steps refit the mean and
 covariance to the CORE share of documents that are nearest under the estimate before. A
 document goes where its squared Mahalanobis distance, scaled so that the group's median is
 that of a chi-square variable, passes CUTOFF.
@@ -127,24 +127,43 @@ def first_estimate(fit: DataFrame) -> DataFrame:
     return out.drop(*STATS)
 
 
+def pooled(rows: DataFrame) -> DataFrame:
+    """Of each language and source (own): grp, whose estimate judges it, and feeds, the estimates that its rows enter.
+
+    grp is the first of own, its language and the whole corpus with LEAST_GROUP fitted rows.
+    """
+    enough = lambda c: F.col(c) >= LEAST_GROUP
+    groups = cut_lineage(rows.groupBy("own", "speech").agg(F.count_if(~F.col("base_failed")).alias("n")))
+    spoken = groups.groupBy("speech").agg(F.sum("n").alias("spoken"), F.count_if(~enough("n")).alias("lacking"))
+    whole = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"))
+    asked = spoken.agg(F.coalesce(F.bool_or((F.col("lacking") > 0) & ~enough("spoken")), F.lit(False)).alias("asked"))
+    grp = F.when(enough("n"), F.col("own")).when(enough("spoken"), F.col("speech")).when(enough("all"), F.lit("all"))
+    feeds = F.array(
+        F.when(enough("n"), F.col("own")),
+        F.when((F.col("lacking") > 0) & enough("spoken"), F.col("speech")),
+        F.when(F.col("asked") & enough("all"), F.lit("all")),
+    )
+    return groups.join(spoken, "speech").crossJoin(whole).crossJoin(asked).select("own", grp.alias("grp"), F.array_compact(feeds).alias("feeds"))
+
+
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Base counts, base_failed, kept and distance of every row.
 
     Words are runs of other characters than space and U+0009 to U+000D. A null text counts
     as empty and fails the base rules, as every text under 50 words does. Estimates are of
     the rows of a language and source (null is a value of its own) that pass the base rules;
-    in groups with fewer than LEAST_GROUP of them, distance is null and the base rules alone
-    decide. Rows that repeat each give a row, and count as often. Other columns are not
+    where they are fewer than LEAST_GROUP, of those of the language over all sources, and
+    then of the whole corpus. Only in a corpus with fewer of them is distance null, and the
+    base rules alone decide. Rows that repeat each give a row, and count as often. Other columns are not
     read; an empty table gives an empty result.
     """
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
-    rows = keyed_text(docs, "lang", "source").select("doc_id", "text", F.concat(name("lang"), F.lit("\x00"), name("source")).alias("grp"))
-    rows = cut_lineage(statistics(base_counts(rows, "grp")))
-    fit = rows.filter(~F.col("base_failed")).select("grp", *STATS)
-    sizes = cut_lineage(fit.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_GROUP))
-    small = sizes.count() <= GROUPS_TO_SEND
+    rows = keyed_text(docs, "lang", "source").select("doc_id", "text", F.concat(F.lit("g"), name("lang"), F.lit("\x00"), name("source")).alias("own"), F.concat(F.lit("l"), name("lang")).alias("speech"))
+    rows = cut_lineage(statistics(base_counts(rows, "own", "speech")))
+    pools = cut_lineage(pooled(rows))
+    small = pools.count() <= GROUPS_TO_SEND
     send = (lambda d: F.broadcast(d)) if small else (lambda d: d)
-    fit = fit.join(send(sizes.select("grp")), "grp")
+    fit = rows.filter(~F.col("base_failed")).select("own", *STATS).join(send(pools.select("own", "feeds")), "own").select(F.explode("feeds").alias("grp"), *STATS)
     now = first_estimate(fit)
     for _ in range(STEPS):
         near = distance(fit.join(send(now), "grp")).select("grp", *STATS, "d2")
@@ -156,7 +175,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     # A group's median may only widen its ellipse: floors alone can make distances small.
     scaled = F.col("d2") / F.greatest(F.col("middle") / F.lit(CHI_MEDIAN), F.lit(1.0))
     return (
-        distance(rows.join(send(now), "grp", "left"))
+        distance(rows.join(send(pools.select("own", "grp")), "own").join(send(now), "grp", "left"))
         .withColumn("distance", scaled)
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.lit(cutoff), F.lit(True)))
         .select(*RESULT)

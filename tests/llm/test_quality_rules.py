@@ -79,3 +79,13 @@ def test_small_groups_keep_what_passes_the_base_rules(spark):
     text = " ".join(f"w{i}***" for i in range(80))
     docs = spark.createDataFrame([(1, text, "en", "s")] * 2, "doc_id long, text string, lang string, source string")
     assert [(r.kept, r.distance) for r in q.judge(docs).collect()] == [(True, None)] * 2
+
+
+def test_small_groups_are_judged_by_their_language_or_the_corpus(spark):
+    dice = random.Random(8)
+    rows = [(i, t, "en", f"s{i % 20}") for i, t in enumerate(documents(dice, 200))] + [(1000 + i, t, "en", f"s{i}") for i, t in enumerate(documents(dice, 5, junk=True))]
+    rows += [(2000, next(documents(dice, 1)), "de", "s0"), (2001, next(documents(dice, 1, junk=True)), None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.judge(docs).collect()}
+    assert len(got) == len(rows) and all(r.distance is not None for r in got.values())
+    assert all(r.kept == (i < 1000 or i == 2000) for i, r in got.items())
