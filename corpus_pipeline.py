@@ -1,12 +1,12 @@
 """From raw documents to token ids: quality, toxicity, near duplicates, source mix, encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of documents. Rows that share a doc_id share its verdicts.
+columns of documents. Every row has its own verdicts, whatever rows share its doc_id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import jaccard_join, mixing, quality_rules, sentence_pieces, toxicity
 from ledgerloom.llm.common import cut_lineage, table
@@ -15,26 +15,38 @@ from ledgerloom.llm.common import cut_lineage, table
 ORACLE_SQL = None
 
 
-def having(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id, null included, is among ids."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+#: A row's own number, which carries verdicts: doc_ids may be null or repeat.
+ROW = "_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with ROW, fixed by a checkpoint."""
+    return docs if ROW in docs.columns else cut_lineage(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.col(ROW))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return having(docs, quality_rules.judge(docs).filter("kept"))
+    rows = numbered(docs)
+    kept = quality_rules.judge(by_row(rows)).filter("kept").select(F.col("doc_id").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def nontoxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return having(docs, toxicity.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 0"))
+    rows = numbered(docs)
+    kept = toxicity.score(rows, table(spark, sf_dir, "labels"), row=ROW).filter("predicted = 0").select(ROW)
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class: that of the least doc_id, of its rows the one with the least text."""
-    firsts = having(docs, jaccard_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))))
-    same = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
-    place = F.row_number().over(Window.partitionBy(same).orderBy("text"))
-    return firsts.withColumn("_place", place).filter("_place = 1").select(*docs.columns)
+    """One row of each class: that of the least doc_id, of its rows the one with the least hash of the text."""
+    rows = numbered(docs)
+    classes = jaccard_join.join(by_row(rows)).select(F.col("doc_id").alias(ROW), "class_id")
+    first = F.min(F.struct("doc_id", F.xxhash64("text").alias("h"), ROW)).alias("first")
+    firsts = rows.select(ROW, "doc_id", "text").join(classes, ROW).groupBy("class_id").agg(first).select(F.col("first")[ROW].alias(ROW))
+    return rows.join(firsts, ROW, "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +55,14 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     No more than one document of each shard is taken in part, so sources keep their targets
     but for that part's rounding.
     """
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("_share"))
-    copies = taken.select("_id", F.floor(F.col("_share") + F.lit(0.5)).cast("int").alias("_copies")).filter("_copies > 0")
-    return docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"])).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    rows = numbered(docs)
+    share = F.col("taken") / F.greatest(F.col("size"), F.lit(1))
+    copies = mixing.mix(by_row(rows)).select(F.col("doc_id").alias(ROW), F.floor(share + F.lit(0.5)).cast("int").alias("_copies")).filter("_copies > 0")
+    return rows.join(copies, ROW).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentence_pieces.encode(docs)
+    return sentence_pieces.encode(docs.drop(ROW))
 
 
 STAGES = [
@@ -62,7 +75,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = numbered(table(spark, sf_dir, "documents"))
     for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -272,7 +272,7 @@ class Network:
         return out
 
 
-def score(docs: DataFrame, labels: DataFrame, buckets: int = 3, kept: int = 1, rows: int = FIT_ROWS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, buckets: int = 3, kept: int = 1, rows: int = FIT_ROWS, row: str | None = None) -> DataFrame:
     """doc_id, held_out, score (of toxic 1) and predicted (score >= THRESHOLD) of every row.
 
     Learns from labelled rows whose crc32(doc_id) mod buckets is not kept: rows of them at
@@ -280,17 +280,18 @@ def score(docs: DataFrame, labels: DataFrame, buckets: int = 3, kept: int = 1, r
     word of every text is in a scored window; words are runs of letters, in lower case. A
     null text, an empty one and one without letters score 0. Without labels of both kinds
     the score is the same for all texts with words. A null doc_id counts as an empty string.
-    Rows that repeat each give a row; other columns are not read; an empty table gives an
-    empty result.
+    Rows that repeat each give a row; other columns are not read, but row, a long column
+    that the result has too; an empty table gives an empty result.
     """
+    more = [] if row is None else [row]
     out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % buckets == kept
-    texts = keyed_text(docs)
+    texts = keyed_text(docs, *more)
     network = Network().train(*labelled_sample(texts, labels, "toxic", rows, ~out))
     model = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches):
         for b in batches:
             found = model.value.scores(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(found, pa.float64()), pa.array((found >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(found, pa.float64()), pa.array((found >= THRESHOLD).astype(np.int32)), *(b.column(c) for c in more)], names=["doc_id", "held_out", "score", "predicted", *more])
 
-    return bound_batches(texts.withColumn("held_out", out)).mapInArrow(run, RESULT)
+    return bound_batches(texts.withColumn("held_out", out)).mapInArrow(run, ", ".join([RESULT, *(f"{c} long" for c in more)]))

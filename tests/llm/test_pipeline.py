@@ -54,3 +54,17 @@ def test_run_gives_the_library_ids(spark, folder):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = pipeline.run(spark, folder).collect()
     assert rows and all(list(r.ids) == library.encode(texts[r.doc_id]) and r.round_trip for r in rows)
+
+
+def test_rows_that_share_a_doc_id_have_their_own_verdicts(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 160 or doc_id between 1200 and 1259")
+    nulls = docs.filter("doc_id in (1, 2, 1200, 1201)").selectExpr("cast(null as long) doc_id", "concat(text, ' z') text", "lang", "source", "n_chars")
+    short = spark.createDataFrame([(None, "short text", "en", "s0", 0), (7, "short text", "en", "s0", 0)], docs.schema)
+    every = docs.unionByName(nulls).unionByName(short)
+    kept = [r.text for r in pipeline.quality(spark, every, folder).collect()]
+    assert "short text" not in kept and len(kept) == docs.count() + 4
+    kept = [r.text for r in pipeline.nontoxic(spark, every, folder).filter("doc_id is null").collect()]
+    assert len(kept) == 3 and not any("grubhead" in t for t in kept)
+    other = docs.filter("doc_id < 4").selectExpr("doc_id", "reverse(text) text", "lang", "source", "n_chars")
+    few = docs.filter("doc_id < 4").unionByName(other)
+    assert pipeline.distinct(spark, few, folder).count() == 8
