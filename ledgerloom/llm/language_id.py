@@ -1,6 +1,6 @@
 """Language ID with bit-sliced Bloom filters of character n-grams.
 
-Every slot of a table holds one bit per language, so one look-up by HASHES hashes and an AND
+Every slot of a table holds one bit per language, in as many words as they need, so one look-up by HASHES hashes and an AND
 give all languages whose filter has an n-gram. A document's n-grams are counted for each
 language, the counts are corrected for the filter's rate of false positives, and the highest
 decides.
@@ -18,9 +18,9 @@ from ledgerloom.llm.common import bound_batches, keyed_text
 from ledgerloom.llm.stream import code_points, groups, letters, mixed
 
 SLOTS_POWER, HASHES = 18, 3
-#: The fit's bounded sample: labelled rows for each language, and the longest text of them.
+#: The fit's bounded sample: labelled rows for each language, and the characters read of each.
 FIT_ROWS, FIT_CHARS = 1500, 20_000
-LANGUAGES = 64
+WORD = 64
 LEAST_COUNT, LEAST_SHARE = 3, 0.35
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -45,7 +45,7 @@ class LanguageFilter:
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         self.usual = max(self.languages, key=lambda x: (len(samples[x]), x), default="")
-        self.tables = np.zeros((HASHES, 1 << SLOTS_POWER), np.uint64)
+        self.tables = np.zeros((HASHES, 1 << SLOTS_POWER, max(1, -(-len(self.languages) // WORD))), np.uint64)
         counts = {}
         for name in self.languages:
             seen: Counter = Counter()
@@ -63,10 +63,10 @@ class LanguageFilter:
             seen, total = counts[name]
             own = np.array([h for h, n in seen.items() if n >= LEAST_COUNT and n / total >= LEAST_SHARE * highest[h]], np.uint64)
             for i, s in enumerate(slots(own)):
-                self.tables[i, s] |= np.uint64(1 << bit)
-            full = [np.mean((self.tables[i] >> np.uint64(bit)) & np.uint64(1)) for i in range(HASHES)]
+                self.tables[i, s, bit // WORD] |= np.uint64(1 << bit % WORD)
+            full = [np.mean((self.tables[i, :, bit // WORD] >> np.uint64(bit % WORD)) & np.uint64(1)) for i in range(HASHES)]
             self.false[bit] = np.prod(full)
-        narrow = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(self.languages) <= np.iinfo(t).bits)
+        narrow = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if min(len(self.languages), WORD) <= np.iinfo(t).bits)
         self.tables = self.tables.astype(narrow)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -82,7 +82,7 @@ class LanguageFilter:
             mask = self.tables[0][s[0]]
             for i in range(1, HASHES):
                 mask = mask & self.tables[i][s[i]]
-            hits = np.stack([np.bincount(of, weights=(mask >> bit) & 1, minlength=b - a) for bit in range(len(self.languages))], 1) if self.languages else np.zeros((b - a, 0))
+            hits = np.stack([np.bincount(of, weights=(mask[:, bit // WORD] >> (bit % WORD)) & 1, minlength=b - a) for bit in range(len(self.languages))], 1) if self.languages else np.zeros((b - a, 0))
             real = np.maximum(0.0, (hits - n[:, None] * self.false) / (1 - self.false))
             for i in range(b - a):
                 total = real[i].sum()
@@ -106,16 +106,14 @@ def held_out(buckets: int, kept: int):
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> LanguageFilter:
     """docs: doc_id, text and lang. Takes about rows texts of each language, by the least hashes, in one pass."""
     known = docs.filter("lang is not null and text is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return LanguageFilter({})
     parts = 1_000_000
-    share = F.lit(0)
-    for name, n in counts:
-        share = F.when(F.col("lang") == name, min(parts, -(-parts * rows // n))).otherwise(share)
-    chosen = known.filter(F.length("text") <= FIT_CHARS).filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) < share)
+    shares = docs.sparkSession.createDataFrame([(name, min(parts, -(-parts * rows // n))) for name, n in counts], "lang string, share long")
+    chosen = known.join(F.broadcast(shares), "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) < F.col("share"))
     samples: dict[str, list[str]] = {name: [] for name, _ in counts}
-    for name, text in chosen.select("lang", "text").limit(2 * rows * len(counts)).collect():
+    for name, text in chosen.select("lang", F.substring("text", 1, FIT_CHARS)).limit(2 * rows * len(counts)).collect():
         samples[name].append(text)
     return LanguageFilter(samples)
 
@@ -123,8 +121,8 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> LanguageFilter:
 def identify(docs: DataFrame, buckets: int = 4, kept: int = 2, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row.
 
-    Learns from rows with a lang whose crc32(doc_id) mod buckets is not kept; of each of the
-    LANGUAGES most frequent languages, about rows texts up to FIT_CHARS long. A null text, an empty
+    Learns from rows with a lang whose crc32(doc_id) mod buckets is not kept; of every
+    language, about rows texts, their first FIT_CHARS characters. A null text, an empty
     one and one without letters give und and score 0. A text whose n-grams no language has
     gets the language with most fitted rows, score 0; equal counts the first language by
     name. Without labelled rows all are und. A null doc_id counts as an empty string. Rows

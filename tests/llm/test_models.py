@@ -35,6 +35,18 @@ def test_language(spark):
     assert {r.lang_pred for r in language_id.identify(docs.drop("lang").selectExpr("*", "cast(null as string) lang")).collect()} == {"und"}
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    dice = random.Random(7)
+    syllables = {f"l{k:03}": ["".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(6)] for k in range(130)}
+    make = lambda lang, n: " ".join("".join(dice.choice(syllables[lang]) for _ in range(2)) for _ in range(n))
+    rows = [(i, make(lang, 30), lang) for i, lang in enumerate(sorted(syllables) * 8)]
+    rows += [(5000 + i, "ŵŷ " * 8000, "long") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs).filter("held_out").collect()}
+    assert len({lang for i, _, lang in rows if i in got}) > 100 and any(i >= 5000 for i in got)
+    assert all(got[i] == lang for i, _, lang in rows if i in got)
+
+
 def test_filters_return_every_inserted_language():
     a, b = ["ab abc ab" * 5] * 3, ["abc xyz" * 5] * 3
     f = language_id.LanguageFilter({"a": a, "b": b})
