@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import cut_lineage
+from ledgerloom.llm.common import cut_lineage, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,9 +23,12 @@ def components(edges: DataFrame) -> DataFrame:
         if labels is None:
             labels = ends
         else:
-            labels = cut_lineage(labels.join(ends.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left").select("node", F.coalesce("further", "label").alias("label")))
+            further = ends.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            before, labels = labels, cut_lineage(labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")))
+            release(before)
         of = lambda c: ends.select(F.col("node").alias(c), F.col("label").alias(f"{c}_end"))
-        edges = distinct_edges(edges.join(of("a"), "a").join(of("b"), "b").select(F.col("a_end").alias("a"), F.col("b_end").alias("b")))
+        before, edges = edges, distinct_edges(edges.join(of("a"), "a").join(of("b"), "b").select(F.col("a_end").alias("a"), F.col("b_end").alias("b")))
+        release(before)
         if edges.isEmpty():
             return labels
 
@@ -35,10 +38,11 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
 
 
 def follow(ends: DataFrame) -> DataFrame:
-    """Labels' labels, until they don't change; the way halves each time."""
+    """Labels' labels, until they don't change; the way halves each time. The given checkpoint is deleted."""
     while True:
         further = ends.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        step = cut_lineage(ends.join(further, "label").select("node", "label", "further"))
-        ends = step.select("node", F.col("further").alias("label"))
-        if step.filter("label <> further").isEmpty():
-            return ends
+        step = cut_lineage(ends.select("node", "label").join(further, "label").select("node", F.col("further").alias("label"), (F.col("label") != F.col("further")).alias("moved")))
+        release(ends)
+        ends = step
+        if step.filter("moved").isEmpty():
+            return step.select("node", "label")

@@ -1,12 +1,14 @@
 """Near-duplicate texts by a chosen-path join on sets of word shingles.
 
-Texts with equal sets are one node. A node's set is embedded into COORDINATES minima of
-random hashes. From the root of each run, nodes walk down a random tree: a path samples few
-coordinates, and nodes that share a sampled coordinate's value go on to the same child.
-Buckets up to LIMIT nodes are compared pair by pair on the embedding; larger ones compare
-LIMIT leaders with all their members and split further, until no large one is left. Runs
-repeat until pairs at the threshold are missed with no more than 1 - RECALL. Links found so make candidate components, in which every pair of
-texts is then compared exactly, in blocks, so that no bucket's or group's size is capped.
+Texts with equal sets are one node. A node's set is embedded into COORDINATES minima of one
+random permutation, one from each part of it, and a finer sketch of BINS such minima. A run
+starts with one coordinate, and no two runs with the same; nodes with the same value there
+are a bucket. Buckets up to LIMIT nodes are compared pair by pair on their sketches. Larger
+ones compare LEADERS of their nodes with all others, and split further by coordinates that
+the path samples at random, until no large one is left. Runs repeat until pairs at the
+threshold are missed with no more than 1 - RECALL. Pairs whose sketches come near the
+threshold make candidate components; in these, texts of like size are compared exactly,
+block by block, so that no bucket's or group's size is capped.
 """
 
 from __future__ import annotations
@@ -18,19 +20,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import bound_batches, cut_lineage, keyed_text, slices
+from ledgerloom.llm.common import bound_batches, cut_lineage, keyed_text, release, slices
 from ledgerloom.llm.components import components
 from ledgerloom.llm.stream import groups, mixed, word_hashes
 
 WORDS = 5
-COORDINATES = 64
-LIMIT, LEVELS, RECALL = 64, 2, 0.9999
-#: Equal coordinates that make a pair of a bucket, or a bucket's member and its leader, candidates.
-PAIR_AGREE, LEADER_AGREE = 38, 20
-BLOCK = 128
-#: Members of a large bucket that a task compares with its leaders at once.
-CHUNK = 4096
-COLUMNS = 1 << 13
+COORDINATES, BINS = 64, 256
+LIMIT, LEADERS, RECALL = 4096, 1024, 0.9999
+#: How far a sketch's share of equal bins may be under the threshold: 4 standard deviations of it at 0.8.
+SLACK = 0.1
+#: Members of a large bucket that a task compares with its leaders at once; pairs whose sketches are compared at once.
+CHUNK, PAIRS = 4096, 1 << 15
+#: Shingles and texts of a block that is compared exactly with another.
+BLOCK_SHINGLES, BLOCK = 1 << 19, 1024
+COLUMNS = 1 << 12
 NOTHING = -(1 << 63)
 
 
@@ -61,19 +64,45 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def embedding(s: np.ndarray) -> np.ndarray:
-    """Upper halves of the minima of COORDINATES hashes."""
-    low = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    factors = mixed(np.arange(COORDINATES), 11) | np.uint64(1)
-    adds = mixed(np.arange(COORDINATES), 12)
-    with np.errstate(over="ignore"):
-        for i in range(0, len(s), 1 << 12):
-            np.minimum(low, (s[None, i : i + (1 << 12)] * factors[:, None] + adds[:, None]).min(1), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
+EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(56)
+#: Each coordinate's order of others whose minimum it takes where its own part of a set is empty.
+DONORS = np.argsort(mixed(np.arange(COORDINATES * COORDINATES), 13).reshape(COORDINATES, COORDINATES), 1)
+
+
+def sketches(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Minima of COORDINATES equal parts of a sorted set's range, and four bits of those of BINS parts (0: empty)."""
+    if not len(s):
+        return np.zeros(COORDINATES, np.int32), np.zeros(BINS // 2, np.uint8)
+    at = np.append(np.searchsorted(s, EDGES), len(s))
+    first = s[np.minimum(at[:-1], len(s) - 1)]
+    fine = np.where(at[:-1] < at[1:], first % np.uint64(15) + np.uint64(1), np.uint64(0)).astype(np.uint8)
+    step = BINS // COORDINATES
+    full = at[:-1:step] < at[step::step]
+    own = np.where(full, np.arange(COORDINATES), DONORS[np.arange(COORDINATES), full[DONORS].argmax(1)])
+    return (first[::step][own] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32), fine[::2] << 4 | fine[1::2]
+
+
+def packed(column) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BINS // 16)
+
+
+def filled(words: np.ndarray) -> np.ndarray:
+    """How many groups of four bits aren't 0."""
+    words = words | words >> np.uint64(1)
+    words |= words >> np.uint64(2)
+    words &= np.uint64(0x1111111111111111)
+    return np.bitwise_count(words).sum(-1, dtype=np.int32)
+
+
+def near(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether bins agree as often as those of sets at the threshold do, but for SLACK."""
+    either = filled(x | y)
+    return either - filled(x ^ y) >= (threshold - SLACK) * either
 
 
 def sketch(texts: DataFrame) -> DataFrame:
-    """key and the text's hash, two halves of the set's digest, its size, its embedding and the embedding's low bytes."""
+    """key and the text's hash, two halves of the set's digest, its size and its sketches."""
 
     def run(batches):
         for b in batches:
@@ -82,24 +111,25 @@ def sketch(texts: DataFrame) -> DataFrame:
                 d1 = np.array([mixed(s, 7).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 d2 = np.array([mixed(s, 8).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             size = np.array([len(s) for s in sets], np.int64)
-            flat = np.concatenate([embedding(s) for s in sets]) if sets else np.zeros(0, np.int32)
-            short = [x.tobytes() for x in flat.astype(np.uint8).reshape(-1, COORDINATES)]
+            made = [sketches(s) for s in sets]
+            flat = np.concatenate([m for m, _ in made]) if made else np.zeros(0, np.int32)
             where = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * COORDINATES)
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("text_hash"), pa.array(d1), pa.array(d2), pa.array(size), pa.ListArray.from_arrays(where, pa.array(flat, pa.int32())), pa.array(short, pa.binary())], names=["key", "text_hash", "d1", "d2", "size", "minima", "short"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("text_hash"), pa.array(d1), pa.array(d2), pa.array(size), pa.ListArray.from_arrays(where, pa.array(flat, pa.int32())), pa.array([f.tobytes() for _, f in made], pa.binary())], names=["key", "text_hash", "d1", "d2", "size", "minima", "fine"])
 
-    return bound_batches(texts).mapInArrow(run, "key long, text_hash long, d1 long, d2 long, size long, minima array<int>, short binary")
+    return bound_batches(texts).mapInArrow(run, "key long, text_hash long, d1 long, d2 long, size long, minima array<int>, fine binary")
 
 
-def runs_for(recall: float, levels: int) -> int:
-    """Runs that find a pair at the threshold with probability recall at least.
+def runs_for(recall: float, levels: int, threshold: float = 0.8) -> int:
+    """Runs that find a pair at the threshold with probability recall at least, if its buckets split levels - 1 times.
 
-    A path samples 1 / threshold coordinates on average, so that one on which the pair
-    agrees is among them with probability 1 - e^-1, and on further levels 1 - e^-p.
+    The pair agrees on a run's first coordinate with the threshold's probability. Further
+    down a path samples 1 / threshold coordinates on average, so that one on which the pair
+    agrees is among them with probability 1 - e^-p, p being that of the levels below.
     """
     p = 1.0
-    for _ in range(levels):
+    for _ in range(levels - 1):
         p = 1 - math.exp(-p)
-    return math.ceil(math.log(1 - recall) / math.log(1 - p))
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold * p))
 
 
 def children(path, threshold: float):
@@ -109,15 +139,22 @@ def children(path, threshold: float):
     return F.transform(taken, lambda i: F.xxhash64(path, i, F.get(F.col("minima"), i)))
 
 
+def roots(first: int, last: int):
+    """The paths of runs first to last - 1; after COORDINATES runs they come again, and split otherwise below."""
+    order = np.argsort(mixed(np.arange(COORDINATES), 17)).tolist()
+    of = lambda r: order[r % COORDINATES]
+    return F.array(*[F.xxhash64(F.lit(r), F.lit(of(r)), F.get(F.col("minima"), F.lit(of(r)))) for r in range(first, last)])
+
+
 def candidate_links(nodes: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Links (a, b) between nodes of common buckets whose embeddings agree.
+    """Links (a, b) between nodes of common buckets whose sketches agree.
 
-    Runs are enough for pairs that are found in LEVELS levels. Where buckets split further, a
+    Runs are enough for pairs that are found in one level. Where buckets split further, a
     pair is rarer in all of them, so the nodes of those buckets get the runs that the deepest
     level needs.
     """
-    links, done, depth, among = [], 0, LEVELS, nodes
-    while done < (runs := runs_for(recall, depth)):
+    links, done, depth, among = [], 0, 1, nodes
+    while done < (runs := runs_for(recall, depth, threshold)):
         more, reached, deep = split(nodes, among, done, runs, threshold)
         links += more
         done, depth = runs, max(depth, reached)
@@ -126,49 +163,52 @@ def candidate_links(nodes: DataFrame, threshold: float, recall: float) -> DataFr
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
-    return out
+    return cut_lineage(out.distinct())
 
 
 def split(nodes: DataFrame, among: DataFrame, first: int, last: int, threshold: float):
-    """Links that runs first + 1 to last find among some nodes, the levels, and the nodes that went below LEVELS.
-
-    Only keys and paths are shuffled to find the buckets; bytes of the minima follow for
-    nodes that share one, and whole minima for nodes of buckets that split. Each level
-    compares up to LIMIT leaders of a large bucket with all its members, and they leave it.
-    Members that agree with a leader get it as home: those of one home are one candidate
-    component and need no more comparison, so a bucket of one home is finished. As leaders
-    are taken outside the most frequent home, every large bucket comes to an end.
+    """Links that runs first to last - 1 find among some nodes, the levels, and the nodes whose buckets split.
+
+    Only keys and paths are shuffled to find the buckets; sketches follow for nodes that
+    share one, and minima for nodes of buckets that split. Each level compares LEADERS of a
+    large bucket with all its members, and they leave it. Members that agree with a leader
+    get it as home: those of one home are one candidate component and need no more
+    comparison, so a bucket of one home is finished. As leaders are taken outside the most
+    frequent home, every large bucket comes to an end.
     """
-    roots = F.transform(F.sequence(F.lit(first + 1), F.lit(last)), lambda r: F.xxhash64(F.lit("run"), r))
-    at = among.select("node", F.explode(F.flatten(F.transform(roots, lambda r: children(r, threshold)))).alias("path"), F.lit(None).cast("long").alias("home"))
-    short, links, deep, level = nodes.select("node", "short"), [], None, 0
+    spark = nodes.sparkSession
+    at = among.select("node", F.explode(roots(first, last)).alias("path"), F.lit(None).cast("long").alias("home"))
+    fine, links, deep, level = nodes.select("node", "fine"), [], None, 0
+    unit = ["path", "chunk"]
     while True:
         level += 1
         sizes = cut_lineage(buckets(at, level > 1).filter("n > 1 and n > at_home"))
-        small = at.join(sizes.filter(F.col("n") <= LIMIT).select("path"), "path").join(short, "node")
-        dealt = small.repartition(slices(nodes.sparkSession), "path").sortWithinPartitions("path", "node")
-        links.append(bound_batches(dealt.select("path", "node", "short")).mapInArrow(compare_buckets, "a long, b long"))
+        small = at.join(sizes.filter(F.col("n") <= LIMIT).select("path"), "path").join(fine, "node")
+        dealt = small.repartition(slices(spark), "path").sortWithinPartitions("path", "node")
+        pairs = lambda b: compare_buckets(b, threshold)
+        links.append(bound_batches(dealt.select("path", "node", "home", "fine")).mapInArrow(pairs, "a long, b long"))
         if sizes.filter(F.col("n") > LIMIT).isEmpty():
             return links, level, deep
         chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks")
         large = cut_lineage(at.join(sizes.filter(F.col("n") > LIMIT).select("path", "usual", chunks), "path"))
         place = F.row_number().over(Window.partitionBy("path").orderBy(F.col("home").eqNullSafe(F.col("usual")) & F.col("home").isNotNull(), F.xxhash64("node"), "node"))
-        leaders = large.withColumn("place", place).filter(F.col("place") <= LIMIT)
+        leaders = large.withColumn("place", place).filter(F.col("place") <= LEADERS)
         rows = leaders.select("node", "path", "home", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("rank"))
         rows = rows.unionByName(large.select("node", "path", "home", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("rank")))
-        dealt = rows.join(short, "node").repartition(slices(nodes.sparkSession), "path", "chunk").sortWithinPartitions("path", "chunk", "rank", "node")
-        met = cut_lineage(bound_batches(dealt.select("path", "chunk", "rank", "node", "home", "short")).mapInArrow(compare_leaders, "node long, path long, home long, leaves boolean, to array<long>"))
-        links.append(met.select(F.explode("to").alias("a"), F.col("node").alias("b")).distinct())
+        dealt = rows.join(fine, "node").repartition(slices(spark), *unit).sortWithinPartitions(*unit, "rank", "node")
+        lead = lambda b: compare_leaders(b, threshold)
+        met = cut_lineage(bound_batches(dealt.select(*unit, "rank", "node", "home", "fine")).mapInArrow(lead, "node long, path long, home long, leaves boolean, to array<long>"))
+        links.append(met.select(F.explode("to").alias("a"), F.col("node").alias("b")))
         rest = met.filter("not leaves").select("node", "path", "home")
         rest = cut_lineage(rest.join(buckets(rest, True).filter("n > 1 and n > at_home").select("path"), "path"))
+        release(large)
         if rest.isEmpty():
             return links, level, deep
-        if level >= LEVELS:
-            now = rest.select("node").distinct()
-            deep = cut_lineage(now if deep is None else deep.union(now).distinct())
+        now = rest.select("node").distinct()
+        deep = cut_lineage(now if deep is None else deep.union(now).distinct())
         further = rest.groupBy("node").agg(F.collect_list(F.struct("path", "home")).alias("from")).join(nodes.select("node", "minima"), "node")
         below = F.transform("from", lambda x: F.transform(children(x["path"], threshold), lambda p: F.struct(p.alias("path"), x["home"].alias("home"))))
-        at = further.select("node", F.explode(F.flatten(below)).alias("x")).select("node", "x.*")
+        at = cut_lineage(further.select("node", F.explode(F.flatten(below)).alias("x")).select("node", "x.*"))
 
 
 def buckets(at: DataFrame, homes: bool) -> DataFrame:
@@ -183,23 +223,21 @@ def buckets(at: DataFrame, homes: bool) -> DataFrame:
     )
 
 
-def compare_leaders(batches):
+def compare_leaders(batches, threshold: float):
     """Of each member of a large bucket's chunk: its home, whether it leaves as a leader, and leaders it links to.
 
     A chunk's first rows are the bucket's leaders (rank 0); leaders that agree count as one,
     the first, so that a member has one link to each such group.
     """
     for t in grouped(batches, ["path", "chunk"]):
-        nodes = t.column("node").to_numpy()
-        short = np.frombuffer(b"".join(t.column("short").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        nodes, bins = t.column("node").to_numpy(), packed(t.column("fine"))
         many = int((t.column("rank").to_numpy() == 0).sum())
-        lead, own = short[:many], short[many:]
-        near = (lead[:, None] == lead[None]).sum(2) >= LEADER_AGREE
-        group = np.array(roots_of(many, zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1))))), np.int64)
+        lead, own = bins[:many], bins[many:]
+        alike = np.stack([near(x, lead, threshold) for x in lead])
+        group = roots_of(many, *np.nonzero(np.triu(alike, 1)))
         homes, to = t.column("home").to_pylist()[many:], []
-        for start in range(0, len(own), BLOCK):
-            for row in (own[start : start + BLOCK, None] == lead[None]).sum(2) >= LEADER_AGREE:
-                to.append(np.unique(group[row]).tolist())
+        agree = np.stack([near(x, own, threshold) for x in lead], 1)
+        to = [np.unique(group[row]).tolist() if row.any() else [] for row in agree]
         home = [h if h is not None else int(nodes[k[0]]) if k else None for h, k in zip(homes, to)]
         # a leader is in its own group, the others of the group come by its first
         out = [[int(nodes[g]) for g in k if nodes[g] != x] for x, k in zip(nodes[many:].tolist(), to)]
@@ -209,6 +247,22 @@ def compare_leaders(batches):
         })
 
 
+def whole(batches, key: str):
+    """Tables of all rows of some keys, from batches in which equal keys stand together; and where each key begins, then the end."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        if not t.num_rows:
+            continue
+        k = t.column(key).to_numpy()
+        edge = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1]
+        if len(edge) > 1:
+            yield t.slice(0, edge[-1]), edge
+        held = t.slice(edge[-1])
+    if held is not None and held.num_rows:
+        yield held, np.array([0, held.num_rows])
+
+
 def grouped(batches, keys: list[str]):
     """Tables of the rows of each key, from batches in which equal keys stand together."""
     held = None
@@ -225,62 +279,77 @@ def grouped(batches, keys: list[str]):
         yield held
 
 
-def roots_of(n: int, pairs) -> list[int]:
-    """The least member of each one's tree when these pairs are joined."""
-    top = list(range(n))
-
-    def find(x):
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
-
-    for x, y in pairs:
-        x, y = find(x), find(y)
-        if x != y:
-            top[max(x, y)] = min(x, y)
-    return [find(x) for x in range(n)]
-
-
-def compare_buckets(batches):
-    """A spanning forest of each bucket's pairs that agree."""
-    a, b = [], []
-    for t in grouped(batches, ["path"]):
-        n = t.num_rows
-        if n > 1:
-            nodes = t.column("node").to_pylist()
-            short = np.frombuffer(b"".join(t.column("short").to_pylist()), np.uint8).reshape(n, COORDINATES)
-            i, j = np.nonzero(np.triu((short[:, None] == short[None]).sum(2) >= PAIR_AGREE, 1))
-            if len(i):
-                for x, r in enumerate(roots_of(n, zip(i.tolist(), j.tolist()))):
-                    if x != r:
-                        a.append(nodes[r])
-                        b.append(nodes[x])
-        if len(a) > 10_000:
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-            a, b = [], []
-    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def linked(sets: list[np.ndarray], exact: Fraction) -> np.ndarray:
-    """Whether each pair of sets has the similarity."""
-    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
-    shared = np.zeros((n, n), np.float64)
-    token, number = np.unique(np.concatenate(sets), return_inverse=True)
-    often = np.bincount(number, minlength=len(token)) > 1
-    column = np.cumsum(often) - 1
-    row = np.repeat(np.arange(n), sizes)
-    keep = often[number]
-    row, column = row[keep], column[number[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        i, j = np.searchsorted(column, [start, start + COLUMNS])
-        m = np.zeros((n, min(COLUMNS, int(column[j - 1]) - start + 1)), np.float32)
-        m[row[i:j], column[i:j] - start] = 1
-        shared += m @ m.T
-    union = sizes[:, None] + sizes[None, :] - shared
-    return (shared * exact.denominator >= exact.numerator * union) & ~np.eye(n, dtype=bool)
+def roots_of(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least member of each one's tree when the pairs (i, j) are joined."""
+    top = np.arange(n)
+    while True:
+        least, now = np.minimum(top[i], top[j]), top.copy()
+        np.minimum.at(now, i, least)
+        np.minimum.at(now, j, least)
+        now = now[now]
+        if (now == top).all():
+            return top
+        top = now
+
+
+def compare_buckets(batches, threshold: float):
+    """A spanning forest of each bucket's pairs that agree and aren't of one home."""
+    for t, edge in whole(batches, "path"):
+        nodes, bins = t.column("node").to_numpy(), packed(t.column("fine"))
+        home = t.column("home").fill_null(NOTHING).to_numpy()
+        end = np.repeat(edge[1:], np.diff(edge))
+        later = end - np.arange(len(nodes)) - 1  # the pairs that a row begins
+        edges = np.r_[0, np.cumsum(later)]
+        linked_i, linked_j = [], []
+        for start in range(0, int(edges[-1]), PAIRS):
+            number = np.arange(start, min(start + PAIRS, int(edges[-1])))
+            i = np.searchsorted(edges, number, side="right") - 1
+            j = i + 1 + number - edges[i]
+            other = (home[i] != home[j]) | (home[i] == NOTHING)
+            i, j = i[other], j[other]
+            yes = near(bins[i], bins[j], threshold)
+            linked_i.append(i[yes])
+            linked_j.append(j[yes])
+        root = roots_of(len(nodes), np.concatenate(linked_i), np.concatenate(linked_j)) if linked_i else np.arange(len(nodes))
+        x = np.flatnonzero(root != np.arange(len(nodes)))
+        yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[root[x]]), "b": pa.array(nodes[x])})
+
+
+def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of a has in common with each of b."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    ta, tb = np.concatenate(a), np.concatenate(b)
+    token, often = np.unique(ta, return_counts=True)
+    token = token[often > 1] if a is b else np.intersect1d(token, tb)
+    if not len(token):
+        return out
+
+    def places(sets, flat):
+        row, column = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.minimum(np.searchsorted(token, flat), len(token) - 1)
+        keep = np.flatnonzero(token[column] == flat)
+        keep = keep[np.argsort(column[keep], kind="stable")]
+        return row[keep], column[keep]
+
+    ra, ca = places(a, ta)
+    rb, cb = (ra, ca) if a is b else places(b, tb)
+    for start in range(0, len(token), COLUMNS):
+        m = []
+        for n, row, column in ((len(a), ra, ca), (len(b), rb, cb)):
+            i, j = np.searchsorted(column, [start, start + COLUMNS])
+            m.append(np.zeros((n, min(COLUMNS, len(token) - start)), np.float32))
+            m[-1][row[i:j], column[i:j] - start] = 1
+        out += m[0] @ m[1].T
+    return out
+
+
+def linked(a: list[np.ndarray], exact: Fraction, b: list[np.ndarray] | None = None) -> np.ndarray:
+    """Whether each set of a has the similarity with each of b, or with each other one of a."""
+    b, alone = (a, True) if b is None else (b, False)
+    both = shared(a, b).astype(np.int64)
+    if alone:
+        np.fill_diagonal(both, 0)
+    union = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None, :] - both
+    return (both > 0) & (both * exact.denominator >= exact.numerator * union)
 
 
 def verify(batches, exact: Fraction):
@@ -288,19 +357,54 @@ def verify(batches, exact: Fraction):
     for t in grouped(batches, ["component", "i", "j"]):
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         sets = shingle_sets(t.column("text").to_pylist())
-        nodes = t.column("node").to_numpy()
-        copies, block = t.column("copies").to_numpy(), t.column("block").to_numpy()
-        links = linked(sets, exact)
-        if i != j:
-            links &= block[:, None] != block[None, :]
-        x, y = np.nonzero(np.triu(links))
-        root = roots_of(len(nodes), zip(x.tolist(), y.tolist()))
+        nodes, copies = t.column("node").to_numpy(), t.column("copies").to_numpy()
+        if i == j:
+            x, y = np.nonzero(np.triu(linked(sets, exact), 1))
+        else:
+            own = t.column("own").to_numpy()
+            left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+            if not len(left) or not len(right):
+                continue
+            x, y = np.nonzero(linked([sets[k] for k in left], exact, [sets[k] for k in right]))
+            x, y = left[x], right[y]
+        links = np.bincount(x, weights=copies[y], minlength=len(nodes)) + np.bincount(y, weights=copies[x], minlength=len(nodes))
+        root = roots_of(len(nodes), x, y)
         yield pa.RecordBatch.from_pydict({
-            "node": pa.array(nodes), "links": pa.array((links * copies[None, :]).sum(1).astype(np.int64)),
-            "root": pa.array(nodes[root]), "alone": pa.array([t.column("blocks")[0].as_py() == 1] * len(nodes)),
+            "node": pa.array(nodes), "links": pa.array(links.astype(np.int64)), "root": pa.array(nodes[root]), "alone": t.column("alone").combine_chunks(),
         })
 
 
+def compared(nodes: DataFrame, parts: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Of the nodes of components: the exact links of each in every pair of blocks it is in, and what they join.
+
+    A component's nodes are dealt into zones of sizes, in which the largest set is less than
+    1 / threshold times the smallest, and zones into blocks of bounded size; a block meets
+    those of its own zone and the zones beside it.
+    """
+    exact = Fraction(str(threshold))
+    info = parts.join(nodes.select("node", "copies", "key", "text_hash", "size"), "node")
+    enough = (F.sum("size") <= BLOCK_SHINGLES) & (F.count("*") <= BLOCK)
+    info = info.join(info.groupBy("label").agg(enough.alias("alone")), "label")
+    zone = F.when(F.col("alone"), F.lit(0)).otherwise(F.floor(F.log(F.col("size")) / F.lit(math.log(1 / threshold))))
+    info = cut_lineage(info.withColumn("zone", zone.cast("long")))
+    blocks = info.groupBy("label", "zone").agg(F.greatest(F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES)), F.ceil(F.count("*") / F.lit(BLOCK))).cast("long").alias("blocks"))
+    beside = blocks.select("label", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.col("zone") + d)).alias("zone"), F.struct("zone", "blocks").alias("other"))
+    beside = beside.groupBy("label", "zone").agg(F.collect_list("other").alias("others")).join(blocks, ["label", "zone"])
+    number = lambda zone, block: F.shiftleft(zone, 32) + block
+    members = info.join(beside, ["label", "zone"]).select(
+        "node", "copies", "key", "text_hash", F.col("label").alias("component"), "alone", "others",
+        number(F.col("zone"), F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("own"))
+    own = ["key", "text_hash", "node", "copies", "component", "alone", "others", "own"]
+    rows = members.join(texts.filter("text is not null"), ["key", "text_hash"]).groupBy("key", "text_hash", "node").agg(*[F.any_value(c).alias(c) for c in own[3:]], F.any_value("text").alias("text"))
+    meets = F.flatten(F.transform("others", lambda x: F.transform(F.sequence(F.lit(0).cast("long"), x["blocks"] - 1), lambda b: number(x["zone"], b))))
+    units = rows.select("node", "copies", "component", "alone", "own", "text", F.explode(meets).alias("other")).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    unit = ["component", "i", "j"]
+    dealt = units.repartition(slices(nodes.sparkSession), *unit).sortWithinPartitions(*unit, "node")
+    found = cut_lineage(bound_batches(dealt.select(*unit, "node", "copies", "alone", "own", "text")).mapInArrow(lambda b: verify(b, exact), "node long, links long, root long, alone boolean"))
+    release(info)
+    return found
+
+
 def join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id and n_links of every row.
 
@@ -308,35 +412,31 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> Dat
     the least doc_id of all rows that links join. Words are runs of other characters than
     space and U+0009 to U+000D. A null or empty text, and one without words, links to
     nothing and is a class of its own, also beside its copies. A text of fewer than five
-    words has one shingle. Each text counts on its own, whatever rows share its doc_id; null
-    counts as the least doc_id. Rows that repeat each give a row and link to each other. Other columns are not read; an
-    empty table gives an empty result.
+    words has one shingle; long texts count whole. Each text counts on its own, whatever
+    rows share its doc_id; null counts as the least doc_id. Rows that repeat each give a row
+    and link to each other. Other columns are not read; an empty table gives an empty result.
     """
-    exact = Fraction(str(threshold))
     texts = keyed_text(docs).select(F.coalesce("doc_id", F.lit(NOTHING)).alias("key"), "text", F.xxhash64("text").alias("text_hash"))
-    rows = cut_lineage(sketch(texts))
+    made = cut_lineage(sketch(texts))
     same = ["d1", "d2", "size"]
-    sets = rows.filter("size > 0").groupBy(*same).agg(F.min(F.struct("key", "text_hash")).alias("first"), F.count("*").alias("copies"), F.any_value(F.struct("minima", "short")).alias("e"))
+    sets = made.filter("size > 0").groupBy(*same).agg(F.min(F.struct("key", "text_hash")).alias("first"), F.count("*").alias("copies"), F.any_value(F.struct("minima", "fine")).alias("e"))
     nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), *same, "first.*", "copies", "e.*"))
+    rows = cut_lineage(made.select("key", *same))
+    release(made)
     links = candidate_links(nodes, threshold, recall)
     parts = components(links)
-    sizes = parts.groupBy("label").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    members = (
-        parts.join(sizes, "label").join(nodes.select("node", "copies", "key", "text_hash"), "node")
-        .select("node", "copies", "key", "text_hash", F.col("label").alias("component"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-    )
-    unit = lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j"))
-    whole = members.join(texts.filter("text is not null"), ["key", "text_hash"]).groupBy("key", "text_hash", "node", "copies", "component", "blocks", "block").agg(F.any_value("text").alias("text"))
-    units = whole.select("*", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), unit)).alias("u")).select("node", "copies", "component", "blocks", "block", "u.i", "u.j", "text")
-    dealt = units.repartition(slices(docs.sparkSession), "component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
-    found = cut_lineage(bound_batches(dealt).mapInArrow(lambda b: verify(b, exact), "node long, links long, root long, alone boolean"))
+    release(links)
+    nodes, before = cut_lineage(nodes.drop("minima", "fine")), nodes
+    release(before)
+    found = compared(nodes, parts, texts, threshold)
     per_node = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.min("alone").alias("alone"))
     far = found.filter("not alone and root <> node").select(F.col("root").alias("a"), F.col("node").alias("b"))
     if not far.isEmpty():
         joined = components(far)
         per_node = per_node.join(joined, "node", "left").select("node", "links", F.when(F.col("alone"), F.col("root")).otherwise(F.coalesce("label", "node")).alias("root"))
-    result = nodes.select(*same, "node", "key", "copies").join(per_node, "node", "left").select(*same, "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("root", "node").alias("root"))
+    result = nodes.join(per_node, "node", "left").select(*same, "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("root", "node").alias("root"))
     result = cut_lineage(result)
+    release(parts, found)
     classes = result.groupBy("root").agg(F.min("key").alias("class"))
     of = result.join(classes, "root").select(*same, "links", "class")
     back = F.when(F.col("class") != NOTHING, F.col("class"))

@@ -110,7 +110,39 @@ def test_components(spark):
 
 
 def test_runs_reach_the_recall():
-    assert jj.runs_for(0.9, 1) == 3 and jj.runs_for(0.9999, 3) > jj.runs_for(0.99, 3)
+    assert jj.runs_for(0.9, 1) == 2 and jj.runs_for(0.9999, 1) == 6 and jj.runs_for(0.9999, 3) > jj.runs_for(0.99, 3)
+
+
+def test_sketches_agree_as_often_as_the_sets():
+    """Pairs at 0.8 agree on that share of coordinates, pass the sketches, and those at 0.5 don't."""
+    dice = np.random.default_rng(4)
+    for n in (20, 90, 700):
+        rates, passed, others = [], 0, 0
+        for _ in range(300):
+            tokens = np.unique(dice.integers(0, 1 << 64, 2 * n, dtype=np.uint64))
+            part = len(tokens) // 10
+            a, b, c = tokens[: 9 * part], np.sort(np.concatenate([tokens[part : 9 * part], tokens[9 * part :]])), tokens[3 * part : 9 * part]
+            (ma, fa), (mb, fb), (_, fc) = jj.sketches(a), jj.sketches(b), jj.sketches(c)
+            rates.append((ma == mb).mean())
+            words = lambda f: f.view(np.uint64)
+            passed += jj.near(words(fa), words(fb), 0.8)
+            others += jj.near(words(fa), words(fc[: len(fc)]), 0.95)
+        assert abs(np.mean(rates) - 0.8) < 0.03 and passed == 300 and others == 0
+
+
+def test_boilerplate_shuffles_no_texts(spark):
+    """Texts that share half their words make no candidate components, however many they are."""
+    dice = random.Random(2)
+    common = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join(common + [f"w{dice.randrange(10**9)}" for _ in range(100)])) for i in range(1500)]
+    rows += [(5000 + i, near(dice, rows[i][1].split(), 3)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = docs.selectExpr("doc_id key", "text", "xxhash64(text) text_hash")
+    nodes = jj.cut_lineage(jj.sketch(texts).selectExpr("key node", "minima", "fine"))
+    parts = components(jj.candidate_links(nodes, 0.8, jj.RECALL))
+    assert parts.groupBy("label").count().agg({"count": "max"}).first()[0] <= 6
+    linked = {r.doc_id for r in jj.join(docs).filter("n_links > 0").collect()}
+    assert linked == {r[0] for r in rows[1500:]} | set(range(40))
 
 
 def test_exact_links():
