@@ -2,26 +2,28 @@
 
 No piece of such a model holds a space after another character, or a line end, so merges
 never cross those places: a text's count is the sum over its pre-tokens (spaces with the
-word after them, or a line end). Each task keeps a table of pieces per distinct pre-token,
-joins a document's pre-token frequencies to it and sums; ids are only made inside the
-library, once for each pre-token that is new to the worker.
+word after them, or a line end). The corpus's distinct pre-tokens are put into one table,
+and the library counts the pieces of each once. Documents' pre-token frequencies are joined
+to it: the most frequent pre-tokens, a bounded number, are sent to all workers and summed
+where the document is; the rare rest, which no key dominates, is joined by a shuffle.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from operator import mul
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import bound_batches, keyed_text
+from ledgerloom.llm.common import bound_batches, cut_lineage, keyed_text, release, written
 
 PRE_TOKEN = re.compile(r" *[^ \n]+| +|\n")
 SLICE_CHARS = 1 << 22
+#: Pre-tokens that are sent to all workers at most, and those that a worker collects before it passes them on.
+FREQUENT, HELD = 1 << 18, 1 << 19
 SPACE_MARK = "▁"
-SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -45,57 +47,105 @@ def plain_processor(path: str):
     return SentencePieceProcessor(model_proto=proto.SerializeToString()), prefixed
 
 
-class PieceCounter:
-    """Counts pieces; most: how many distinct pre-tokens the table holds before it starts anew."""
+def frequencies(text: str | None, prefixed: bool) -> Counter:
+    """How often a text has each pre-token."""
+    text = (text or "").replace(SPACE_MARK, " ")
+    if text and prefixed:
+        text = " " + text
+    if len(text) <= SLICE_CHARS:
+        return Counter(PRE_TOKEN.findall(text))
+    return Counter(m[0] for m in PRE_TOKEN.finditer(text))
 
-    def __init__(self, path: str, most: int = 400_000):
-        self.processor, self.prefixed = plain_processor(path)
-        self.most, self.pieces = most, {}
 
-    def frequencies(self, text: str) -> Counter:
-        text = text.replace(SPACE_MARK, " ")
-        if text and self.prefixed:
-            text = " " + text
-        if len(text) <= SLICE_CHARS:
-            return Counter(PRE_TOKEN.findall(text))
-        return Counter(m[0] for m in PRE_TOKEN.finditer(text))
+_PROCESSORS: dict[str, tuple] = {}
 
-    def counts(self, texts: list[str | None]) -> list[int]:
-        of = [self.frequencies(t or "") for t in texts]
-        if len(self.pieces) > self.most:
-            self.pieces = {}
-        new = list(set().union(*of).difference(self.pieces))
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            self.pieces.update(zip(part, map(len, self.processor.encode(part, num_threads=1))))
-        get = self.pieces.__getitem__
-        return [sum(map(mul, f.values(), map(get, f))) for f in of]
 
+def processor_of(path: str):
+    if path not in _PROCESSORS:
+        _PROCESSORS[path] = plain_processor(path)
+    return _PROCESSORS[path]
 
-_COUNTERS: dict[str, PieceCounter] = {}
 
+def piece_table(texts: DataFrame, path: str | None) -> DataFrame:
+    """token, n (how often the corpus has it) and pieces of every distinct pre-token."""
 
-def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096) -> DataFrame:
+    def collect(batches):
+        _, prefixed = processor_of(path or model_path())
+        seen: Counter = Counter()
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                seen.update(frequencies(text, prefixed))
+                if len(seen) > HELD:
+                    yield from passed_on(seen)
+                    seen = Counter()
+        yield from passed_on(seen)
+
+    def passed_on(seen: Counter):
+        tokens = list(seen)
+        for i in range(0, len(tokens), 1 << 16):
+            part = tokens[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([seen[t] for t in part], pa.int64())], names=["token", "n"])
+
+    def pieces(batches):
+        processor, _ = processor_of(path or model_path())
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("token"), b.column("n"), pa.array(map(len, processor.encode(b.column("token").to_pylist(), num_threads=1)), pa.int64())], names=["token", "n", "pieces"])
+
+    tokens = texts.select("text").mapInArrow(collect, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return written(tokens.mapInArrow(pieces, "token string, n long, pieces long"))
+
+
+def most_frequent(table: DataFrame, most: int) -> dict[str, int]:
+    """Pieces of the pre-tokens that are at least so frequent that there are no more than most of them."""
+    level = F.floor(F.log2("n")).cast("int")
+    least, room = None, most
+    for power, n in sorted(table.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if n > room:
+            break
+        least, room = power, room - n
+    if least is None:
+        return {}
+    return {r[0]: r[1] for r in table.filter(level >= least).select("token", "pieces").collect()}
+
+
+def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) of every row.
 
-    A null or empty text has no bytes and no tokens. Rows that repeat, also in doc_id, each
-    give a row; a null doc_id stays null. Other columns are not read. An empty table gives
-    an empty result. path: the model, where executors find it (default: the public file).
+    A null or empty text has no bytes and no tokens; long texts count whole. Rows that
+    repeat, also in doc_id, each give a row; a null doc_id stays null. Other columns are not
+    read. An empty table gives an empty result. path: the model, where executors find it
+    (default: the public file). frequent: pre-tokens that are sent to all workers at most.
     """
-
-    def run(batches):
-        file = path or model_path()
-        if file not in _COUNTERS:
-            _COUNTERS[file] = PieceCounter(file)
-        counter = _COUNTERS[file]
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            n = counter.counts(texts)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "n_bytes": pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()),
-                "n_tokens": pa.array(n, pa.int64()),
-                "over_limit": pa.array([x > limit for x in n], pa.bool_()),
-            })
-
-    return bound_batches(keyed_text(docs)).mapInArrow(run, SCHEMA)
+    texts = bound_batches(keyed_text(docs))
+    table = piece_table(texts, path)
+    known = docs.sparkSession.sparkContext.broadcast(most_frequent(table, frequent))
+
+    def count(batches):
+        _, prefixed = processor_of(path or model_path())
+        pieces = known.value
+        for b in batches:
+            size, here, rare = [], [], []
+            for text in b.column("text").to_pylist():
+                total, left = 0, []
+                for token, n in frequencies(text, prefixed).items():
+                    k = pieces.get(token)
+                    if k is None:
+                        left.append((token, n))
+                    else:
+                        total += n * k
+                size.append(len(text.encode()) if text else 0)
+                here.append(total)
+                rare.append(left)
+            ends = pa.array([0, *(int(x) for x in accumulate(map(len, rare)))], pa.int32())
+            flat = [x for left in rare for x in left]
+            tokens, ns = (pa.array([x[k] for x in flat], t) for k, t in ((0, pa.string()), (1, pa.int64())))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(size, pa.int64()), pa.array(here, pa.int64()), pa.ListArray.from_arrays(ends, tokens), pa.ListArray.from_arrays(ends, ns)],
+                names=["doc_id", "n_bytes", "here", "tokens", "ns"])
+
+    counted = written(texts.mapInArrow(count, "doc_id long, n_bytes long, here long, tokens array<string>, ns array<long>").select(F.monotonically_increasing_id().alias("row"), "*"))
+    rare = counted.filter(F.size("tokens") > 0).select("row", F.explode(F.arrays_zip("tokens", "ns")).alias("x")).select("row", F.col("x.tokens").alias("token"), F.col("x.ns").alias("n"))
+    sums = cut_lineage(rare.join(table.select("token", "pieces"), "token").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("there")))
+    release(table)
+    total = (F.col("here") + F.coalesce("there", F.lit(0))).alias("n_tokens")
+    return counted.select("row", "doc_id", "n_bytes", "here").join(sums, "row", "left").select("doc_id", "n_bytes", total).withColumn("over_limit", F.col("n_tokens") > limit)
