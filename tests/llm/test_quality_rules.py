@@ -35,6 +35,24 @@ def test_base_counts(spark):
     assert q.judge(docs.limit(0)).collect() == []
 
 
+def test_base_counts_against_sql(spark):
+    """The same counts in DuckDB's SQL, over a whole table."""
+    import duckdb
+
+    folder = "/root/testdata/sf0.001"
+    found = duckdb.sql(f"""
+        WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM '{folder}/documents.parquet'),
+        g AS (SELECT *, list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS three,
+              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM w),
+        places AS (SELECT doc_id, unnest(three) AS s, unnest(range(1, len(three) + 1)) AS i FROM g),
+        twice AS (SELECT doc_id, i FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+        hit AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id)
+        SELECT g.doc_id, len(w), len(array_to_string(w, '')), len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')), len(lines) - len(list_distinct(lines)), coalesce(n, 0),
+               len(w) < 50 OR 100 * coalesce(n, 0) > 50 * len(w) FROM g LEFT JOIN hit USING (doc_id)""").fetchall()
+    rows = q.judge(spark.read.parquet(f"{folder}/documents.parquet")).select(*q.RESULT[:-2]).collect()
+    assert sorted(map(tuple, rows)) == sorted(found) and len(found) >= 200
+
+
 def test_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "a b", "en", "s")], "doc_id long, text string, lang string, source string")
     plan = q.base_counts(docs)._jdf.queryExecution().executedPlan().toString()
@@ -54,27 +72,36 @@ def test_estimates_against_numpy_and_outliers_go(spark):
     kept = {r.doc_id: r for r in q.judge(docs).collect()}
     assert all(kept[i].kept == (i < 400) for i in kept)
 
-    # the same steps in numpy, up to the approximate quantiles
+    # the least determinant of many more starts in numpy
     x = {g: [] for g in ("s", None)}
-    stats = q.statistics(q.base_counts(docs, "source")).collect()
-    for r in stats:
+    for r in q.statistics(q.base_counts(docs, "doc_id", "source")).collect():
         x[r.source].append((r.doc_id, [r[c] for c in q.STATS]))
-    floors = np.diag(q.FLOORS)
     for own in x.values():
         ids, v = [i for i, _ in own], np.array([s for _, s in own])
-        quart = lambda a, p: np.quantile(a, p, axis=0, method="inverted_cdf")
-        mean = quart(v, 0.5)
-        cov = np.diag(((quart(v, 0.75) - quart(v, 0.25)) / 1.349) ** 2) + floors
-        for _ in range(q.STEPS):
-            d = np.einsum("ij,jk,ik->i", v - mean, np.linalg.inv(cov), v - mean)
-            core = v[d <= np.quantile(d, q.CORE, method="inverted_cdf")]
-            mean, cov = core.mean(0), np.cov(core.T, bias=True) + floors
-        d = np.einsum("ij,jk,ik->i", v - mean, np.linalg.inv(cov), v - mean)
-        d /= max(np.quantile(d, 0.5, method="inverted_cdf") / q.CHI_MEDIAN, 1)
+        count, best = int(np.ceil(q.CORE * len(v))), (np.inf, None)
+        for start in range(40):
+            first = v[np.random.default_rng(start).choice(len(v), 30, replace=False)] if start else v
+            mean, low = first.mean(0), floored(np.cov(first.T, bias=True))
+            for _ in range(30):
+                d = (np.linalg.solve(low, (v - mean).T) ** 2).sum(0)
+                core = v[d <= np.sort(d)[count - 1]]
+                mean, low = core.mean(0), floored(np.cov(core.T, bias=True))
+            best = min(best, (2 * np.log(np.diag(low)).sum(), start, mean, low), key=lambda b: b[0])
+        d = (np.linalg.solve(best[3], (v - best[2]).T) ** 2).sum(0)
+        d /= max(np.sort(d)[(len(d) + 1) // 2 - 1] / q.CHI_MEDIAN, 1)
         got = np.array([kept[i].distance for i in ids])
         assert np.allclose(got, d, rtol=0.05, atol=0.05)
 
 
+def floored(cov):
+    low = np.zeros_like(cov)
+    for i in range(len(cov)):
+        for j in range(i + 1):
+            s = cov[i, j] - low[i, :j] @ low[j, :j]
+            low[i, j] = np.sqrt(max(s, q.FLOORS[i])) if i == j else s / low[j, j]
+    return low
+
+
 def test_small_groups_keep_what_passes_the_base_rules(spark):
     text = " ".join(f"w{i}***" for i in range(80))
     docs = spark.createDataFrame([(1, text, "en", "s")] * 2, "doc_id long, text string, lang string, source string")
