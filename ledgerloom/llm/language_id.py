@@ -1,25 +1,24 @@
 """Language ID with bit-sliced Bloom filters of character n-grams.
 
-Every slot of a table holds one bit per language, in as many words as they need, so one look-up by HASHES hashes and an AND
-give all languages whose filter has an n-gram. A document's n-grams are counted for each
-language, the counts are corrected for the filter's rate of false positives, and the highest
-decides.
+Every slot of a table holds one bit per language, in as many words as they need, so one
+look-up by HASHES hashes and an AND give all languages whose filter has an n-gram. A
+document's n-grams are counted for each language, the counts are corrected for the filter's
+rate of false positives, and the highest decides. Executors count the fit's n-grams and set
+the bits; the driver gets the tables alone, whose size follows the number of languages.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import bound_batches, keyed_text
+from ledgerloom.llm.common import bound_batches, cut_lineage, keyed_text, release
 from ledgerloom.llm.stream import code_points, groups, letters, mixed
 
 SLOTS_POWER, HASHES = 18, 3
-#: The fit's bounded sample: labelled rows for each language, and the characters read of each.
-FIT_ROWS, FIT_CHARS = 1500, 20_000
+#: The fit's bounded sample: labelled rows for each language.
+FIT_ROWS = 1500
 WORD = 64
 LEAST_COUNT, LEAST_SHARE = 3, 0.35
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -42,32 +41,14 @@ def slots(h: np.ndarray) -> list[np.ndarray]:
 
 
 class LanguageFilter:
-    def __init__(self, samples: dict[str, list[str]]):
-        self.languages = sorted(samples)
-        self.usual = max(self.languages, key=lambda x: (len(samples[x]), x), default="")
-        self.tables = np.zeros((HASHES, 1 << SLOTS_POWER, max(1, -(-len(self.languages) // WORD))), np.uint64)
-        counts = {}
-        for name in self.languages:
-            seen: Counter = Counter()
-            for a, b in groups(texts := samples[name]):
-                h, n = np.unique(ngrams(code_points([t.lower() for t in texts[a:b]])[0])[0], return_counts=True)
-                seen.update(dict(zip(h.tolist(), n.tolist())))
-            total = max(sum(seen.values()), 1)
-            counts[name] = (seen, total)
-        highest: Counter = Counter()
-        for seen, total in counts.values():
-            for h, n in seen.items():
-                highest[h] = max(highest[h], n / total)
-        self.false = np.zeros(len(self.languages))
-        for bit, name in enumerate(self.languages):
-            seen, total = counts[name]
-            own = np.array([h for h, n in seen.items() if n >= LEAST_COUNT and n / total >= LEAST_SHARE * highest[h]], np.uint64)
-            for i, s in enumerate(slots(own)):
-                self.tables[i, s, bit // WORD] |= np.uint64(1 << bit % WORD)
-            full = [np.mean((self.tables[i, :, bit // WORD] >> np.uint64(bit % WORD)) & np.uint64(1)) for i in range(HASHES)]
-            self.false[bit] = np.prod(full)
-        narrow = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if min(len(self.languages), WORD) <= np.iinfo(t).bits)
-        self.tables = self.tables.astype(narrow)
+    """languages: names in the order of their bits; usual: the one for texts that no filter knows."""
+
+    def __init__(self, languages: list[str], usual: str, tables: np.ndarray):
+        self.languages, self.usual = languages, usual
+        full = [np.mean((tables[:, :, bit // WORD] >> np.uint64(bit % WORD)) & np.uint64(1), axis=1) for bit in range(len(languages))]
+        self.false = np.array([np.prod(x) for x in full])
+        narrow = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if min(len(languages), WORD) <= np.iinfo(t).bits)
+        self.tables = tables.astype(narrow)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text; und and 0 where it has no letter."""
@@ -104,30 +85,54 @@ def held_out(buckets: int, kept: int):
 
 
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> LanguageFilter:
-    """docs: doc_id, text and lang. Takes about rows texts of each language, by the least hashes, in one pass."""
-    known = docs.filter("lang is not null and text is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
-    if not counts:
-        return LanguageFilter({})
-    parts = 1_000_000
-    shares = docs.sparkSession.createDataFrame([(name, min(parts, -(-parts * rows // n))) for name, n in counts], "lang string, share long")
-    chosen = known.join(F.broadcast(shares), "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) < F.col("share"))
-    samples: dict[str, list[str]] = {name: [] for name, _ in counts}
-    for name, text in chosen.select("lang", F.substring("text", 1, FIT_CHARS)).limit(2 * rows * len(counts)).collect():
-        samples[name].append(text)
-    return LanguageFilter(samples)
+    """docs: doc_id, text and lang. Learns from about rows distinct texts of each language, whole ones with the least hashes."""
+    spark, parts = docs.sparkSession, 1_000_000
+    known = docs.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = sorted((r[0], r[1], r[2]) for r in known.groupBy("lang").agg(F.approx_count_distinct("h", 0.02), F.count("*")).collect())
+    languages = [name for name, _, _ in counts]
+    tables = np.zeros((HASHES, 1 << SLOTS_POWER, max(1, -(-len(languages) // WORD))), np.uint64)
+    if not languages:
+        return LanguageFilter([], "", tables)
+    shares = spark.createDataFrame([(name, bit, min(parts, -(-parts * rows // max(n, 1)))) for bit, (name, n, _) in enumerate(counts)], "lang string, bit int, share long")
+    chosen = known.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(parts)) < F.col("share")).groupBy("bit", "h").agg(F.any_value("text").alias("text"))
+
+    def count(batches):
+        for b in batches:
+            texts, bits = b.column("text").to_pylist(), b.column("bit").to_numpy()
+            for i, j in groups(texts):
+                codes, starts = code_points([t.lower() for t in texts[i:j]])
+                h, at = ngrams(codes)
+                of = bits[i:j][np.searchsorted(starts, at, side="right") - 1]
+                for bit in np.unique(of):
+                    grams, n = np.unique(h[of == bit], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), bit, np.int32)), pa.array(grams.view(np.int64)), pa.array(n)], names=["bit", "h", "n"])
+
+    seen = bound_batches(chosen).mapInArrow(count, "bit int, h long, n long").groupBy("bit", "h").agg(F.sum("n").alias("n"))
+    seen = cut_lineage(seen)
+    share = (F.col("n") / F.col("total")).alias("share")
+    shared = seen.join(F.broadcast(seen.groupBy("bit").agg(F.sum("n").alias("total"))), "bit").select("bit", "h", "n", share)
+    own = shared.withColumn("most", F.max("share").over(Window.partitionBy("h"))).filter((F.col("n") >= LEAST_COUNT) & (F.col("share") >= F.lit(LEAST_SHARE) * F.col("most")))
+    slot = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: F.struct(i.alias("i"), F.call_function("shiftrightunsigned", "h", i * SLOTS_POWER).bitwiseAND((1 << SLOTS_POWER) - 1).alias("slot")))
+    bits = (
+        own.select("bit", F.explode(slot).alias("s"))
+        .groupBy("s.i", "s.slot", F.expr(f"bit div {WORD}").alias("word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % WORD).cast("int"))).alias("mask")).toArrow()
+    )
+    tables[tuple(bits.column(c).to_numpy() for c in ("i", "slot", "word"))] = bits.column("mask").to_numpy().view(np.uint64)
+    release(seen)
+    return LanguageFilter(languages, min((-n, name) for name, _, n in counts)[1], tables)
 
 
 def identify(docs: DataFrame, buckets: int = 4, kept: int = 2, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row.
 
     Learns from rows with a lang whose crc32(doc_id) mod buckets is not kept; of every
-    language, about rows texts, their first FIT_CHARS characters. A null text, an empty
-    one and one without letters give und and score 0. A text whose n-grams no language has
-    gets the language with most fitted rows, score 0; equal counts the first language by
-    name. Without labelled rows all are und. A null doc_id counts as an empty string. Rows
-    that repeat each give a row; other columns are not read; an empty table gives an empty
-    result.
+    language, about rows distinct texts, whole ones. A null text, an empty one and one
+    without letters give und and score 0. A text whose n-grams no language has gets the
+    language with most rows to learn from, score 0; of equal ones, and of languages with
+    equal counts, the first by name. Without labelled rows all are und. A null doc_id
+    counts as an empty string. Rows that repeat each give a row; other columns are not
+    read; an empty table gives an empty result.
     """
     texts = keyed_text(docs, "lang").withColumn("lang", F.col("lang").cast("string")).withColumn("held_out", held_out(buckets, kept))
     model = docs.sparkSession.sparkContext.broadcast(fit(texts.filter(~F.col("held_out")), rows))

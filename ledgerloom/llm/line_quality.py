@@ -3,7 +3,9 @@
 Every line is good or bad. Its features are bins of its own statistics and of the lines
 before and after it. Forward-backward gives each line's probability of being good; weighted
 by the lines' lengths they make the document's score. The chain is trained by gradient
-ascent on documents' labels, which all their lines take.
+ascent on documents' labels, which all their lines take. Executors count the statistics of
+the fit's lines into fixed cells, whose sums give the bins' edges, and then return a byte
+for each bin, so that no text comes to the driver.
 """
 
 from __future__ import annotations
@@ -12,11 +14,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import bound_batches, keyed_text
+from ledgerloom.llm.common import bound_batches, cut_lineage, keyed_text, release, slices
 from ledgerloom.llm.stream import capitals, code_points, groups, letters, mixed
 
-#: The fit's bounded sample: labelled rows, and the longest text of them.
-FIT_ROWS, FIT_CHARS = 4000, 20_000
+#: The fit's bounded sample of labelled rows, and the lines of which it makes features at once.
+FIT_ROWS, FIT_LINES = 4000, 1 << 17
+#: Cells in which statistics are counted.
+CELLS = np.r_[0.0, np.geomspace(1e-6, 64.0, 4095)]
+STATISTICS = 8
 BINS, STEPS, RATE, DECAY = 6, 120, 0.08, 2e-3
 THRESHOLD = 0.3
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
@@ -72,25 +77,53 @@ def padded(x: np.ndarray, d: np.ndarray, step: int) -> np.ndarray:
     return out
 
 
+def cell_counts(stats: np.ndarray) -> np.ndarray:
+    """How many values of each statistic are in each cell."""
+    at = np.clip(np.searchsorted(CELLS, stats, side="right") - 1, 0, len(CELLS) - 1)
+    return np.stack([np.bincount(at[:, k], minlength=len(CELLS)) for k in range(STATISTICS)])
+
+
+def bin_edges(counts: np.ndarray) -> list[np.ndarray]:
+    """Of each statistic: what is over 0, quantiles, and two deviations over the mean."""
+    out, n = [], int(counts[0].sum())
+    for c in counts if n else ():
+        quantiles = CELLS[np.searchsorted(np.cumsum(c), np.ceil(n * np.arange(1, BINS) / BINS))]
+        mean = c @ CELLS / n
+        out.append(np.unique(np.r_[1e-9, quantiles, mean + 2 * np.sqrt(c @ (CELLS - mean) ** 2 / n)]))
+    return out
+
+
 class LineModel:
     """Weights of features for good, and the chain's 2 x 2 transitions (0 bad, 1 good)."""
 
-    def __init__(self, texts: list[str], labels: list[int], rows: int = FIT_ROWS):
-        stats, _, d = line_statistics(texts)
-        self.edges = [np.unique(np.r_[1e-9, np.quantile(stats[:, k], np.linspace(0, 1, BINS + 1)[1:-1]), stats[:, k].mean() + 2 * stats[:, k].std()]) for k in range(stats.shape[1])] if len(stats) else []
-        self.width = BINS + 4
-        self.weights = np.zeros(3 * len(self.edges) * self.width + 1)
+    def __init__(self, edges: list[np.ndarray]):
+        self.edges, self.width = edges, BINS + 4
+        self.weights = np.zeros(3 * len(edges) * self.width + 1)
         self.moves = np.zeros((2, 2))
         self.start = 0.0
+
+    @classmethod
+    def of(cls, texts: list[str], labels: list[int]) -> "LineModel":
+        """The model that these texts teach."""
+        stats, _, d = line_statistics(texts)
+        model = cls(bin_edges(cell_counts(stats)))
+        bins = model.bins(stats)
+        return model.teach([bins[d == k] for k in range(len(texts))], labels)
+
+    def teach(self, docs: list[np.ndarray], labels: list[int]) -> "LineModel":
+        """docs: the bins of each text's lines."""
         if len(set(labels)) == 2:
-            self.train(self.features(stats, d), d, np.array(labels), len(texts))
+            self.train(docs, np.array(labels))
         else:
             self.weights[-1] = 0.0 if not labels else (3.0 if labels[0] else -3.0)
+        return self
 
-    def features(self, stats: np.ndarray, d: np.ndarray) -> np.ndarray:
+    def bins(self, stats: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(e, stats[:, k]) for k, e in enumerate(self.edges)], 1).astype(np.int8) if self.edges else np.zeros((len(stats), 0), np.int8)
+
+    def features(self, bins: np.ndarray, d: np.ndarray) -> np.ndarray:
         """Numbers of each line's features: its own bins, and those of the lines around it."""
-        bins = np.stack([np.searchsorted(e, stats[:, k]) for k, e in enumerate(self.edges)], 1) if self.edges else np.zeros((len(d), 0), np.int64)
-        parts = []
+        bins, parts = bins.astype(np.int64), []
         for block, x in enumerate((bins, padded(bins, d, -1), padded(bins, d, 1))):
             parts.append((x + 1) + (np.arange(bins.shape[1]) + block * bins.shape[1]) * self.width)
         return np.concatenate(parts, 1)
@@ -135,22 +168,33 @@ class LineModel:
         two = forward[left][:, :, None] * move[None] * (local[left + 1] * back[left + 1])[:, None, :]
         return p, (two / two.sum((1, 2), keepdims=True)).sum(0), begin
 
-    def train(self, f: np.ndarray, d: np.ndarray, labels: np.ndarray, n: int) -> None:
-        y = labels[d]
+    def train(self, docs: list[np.ndarray], labels: np.ndarray) -> None:
+        n, size = len(docs), len(self.weights)
+        ends = np.cumsum([len(x) for x in docs])
+        group = (ends - 1) // FIT_LINES
+        parts = []
+        for k in np.unique(group):
+            of = np.flatnonzero(group == k)
+            d = np.repeat(np.arange(len(of)), [len(docs[i]) for i in of])
+            parts.append((np.concatenate([docs[i] for i in of]), d, labels[of][d]))
         kept = np.zeros((2, 2))
-        for v in (0, 1):
-            kept[v, v] = np.sum((d[1:] == d[:-1]) & (y[1:] == v))
-        size = len(self.weights)
+        for _, d, y in parts:
+            for v in (0, 1):
+                kept[v, v] += np.sum((d[1:] == d[:-1]) & (y[1:] == v))
+        made = [self.features(bins, d) for bins, d, _ in parts] if len(parts) == 1 else None
         m, v = np.zeros(size + 5), np.zeros(size + 5)
         for step in range(1, STEPS + 1):
-            p, two, first = self.marginals(self.emissions(f), d, pairs=True)
-            miss = y - p
             g = np.zeros(size + 5)
-            for k in range(f.shape[1]):
-                g[:size] += np.bincount(f[:, k], weights=miss, minlength=size)
-            g[size - 1] = miss.sum()
-            g[size : size + 4] = (kept - two).ravel()
-            g[size + 4] = miss[first].sum()
+            g[size : size + 4] = kept.ravel()
+            for bins, d, y in parts:
+                f = made[0] if made else self.features(bins, d)
+                p, two, first = self.marginals(self.emissions(f), d, pairs=True)
+                miss = y - p
+                for k in range(f.shape[1]):
+                    g[:size] += np.bincount(f[:, k], weights=miss, minlength=size)
+                g[size - 1] += miss.sum()
+                g[size : size + 4] -= two.ravel()
+                g[size + 4] += miss[first].sum()
             now = np.r_[self.weights, self.moves.ravel(), self.start]
             g = g / n - DECAY * now
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -161,38 +205,71 @@ class LineModel:
         out = []
         for a, b in groups(texts):
             stats, length, d = line_statistics(texts[a:b])
-            p = self.marginals(self.emissions(self.features(stats, d)), d)
+            p = self.marginals(self.emissions(self.features(self.bins(stats), d)), d)
             w = np.maximum(length, 1)
             out += (np.bincount(d, weights=p * w, minlength=b - a) / np.bincount(d, weights=w, minlength=b - a)).tolist()
         return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS, learn="true"):
-    """Texts and labels of the rows labelled doc_ids with the least hash; texts up to FIT_CHARS long."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS, learn="true") -> DataFrame:
+    """doc_id, label and text of the rows labelled doc_ids with the least hash, in a checkpoint.
+
+    Labels other than 0 and 1 and null doc_ids are left out; of several labels for one
+    doc_id the least counts, of several texts that with the least hash. Null texts count as
+    empty ones.
+    """
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .filter("label in (0, 1) and doc_id is not null").filter(learn)
         .groupBy("doc_id").agg(F.min("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    found = docs.filter(F.length("text") <= FIT_CHARS).join(F.broadcast(marks), "doc_id").select("text", "label", "doc_id").limit(2 * rows).collect()
-    found.sort(key=lambda r: (r[2], r[0]))
-    return [r[0] for r in found], [r[1] for r in found]
+    known = marks.join(docs.filter("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    text = F.coalesce("text", F.lit(""))
+    found = docs.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64(text), text.alias("text"))).alias("t"))
+    return cut_lineage(found.select("doc_id", "label", "t.text").repartition(slices(docs.sparkSession), "doc_id"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS, learn="true") -> LineModel:
+    sample = bound_batches(labelled(docs, labels, label, rows, learn))
+
+    def count(batches):
+        for b in batches:
+            for i, j in groups(texts := b.column("text").to_pylist()):
+                counts = cell_counts(line_statistics(texts[i:j])[0])
+                k, cell = np.nonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(cell, pa.int32()), pa.array(counts[k, cell], pa.int64())], names=["k", "cell", "n"])
+
+    counts = np.zeros((STATISTICS, len(CELLS)), np.int64)
+    for k, cell, n in sample.mapInArrow(count, "k int, cell int, n long").groupBy("k", "cell").agg(F.sum("n")).collect():
+        counts[k, cell] = n
+    model = LineModel(bin_edges(counts))
+
+    def bins(batches):
+        for b in batches:
+            for i, j in groups(texts := b.column("text").to_pylist()):
+                stats, _, d = line_statistics(texts[i:j])
+                found = model.bins(stats)
+                part = [found[x:y].tobytes() for x, y in zip(*np.searchsorted(d, [np.arange(j - i), np.arange(1, j - i + 1)]))]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), b.column("label").slice(i, j - i), pa.array(part, pa.binary())], names=["doc_id", "label", "bins"])
+
+    learnt = sorted(sample.mapInArrow(bins, "doc_id long, label int, bins binary").collect())
+    release(sample)
+    width = max(len(model.edges), 1)
+    return model.teach([np.frombuffer(r[2], np.int8).reshape(-1, width) for r in learnt], [r[1] for r in learnt])
 
 
 def classify(docs: DataFrame, labels: DataFrame, buckets: int = 5, kept: int = 0, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score (of quality 1) and predicted (score >= THRESHOLD) of every row.
 
     Learns from labelled rows whose crc32(doc_id) mod buckets is not kept: rows of them, of
-    texts up to FIT_CHARS long; labels other than 0 and 1 are left out, of several for one
-    doc_id the least counts. A null or empty text has one line without words, and is scored
-    like others. Without labels of both kinds the score is the same for all. A null doc_id
-    counts as an empty string. Rows that repeat each give a row; other columns are not read;
-    an empty table gives an empty result.
+    whole texts (see labelled). A null or empty text has one line without words, and is
+    scored like others; long texts are scored whole. Without labels of both kinds the score
+    is the same for all. A null doc_id counts as an empty string. Rows that repeat each give
+    a row; other columns are not read; an empty table gives an empty result.
     """
     out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % buckets == kept
     texts = keyed_text(docs).withColumn("held_out", out)
-    model = docs.sparkSession.sparkContext.broadcast(LineModel(*fit(keyed_text(docs), labels, "quality", rows, ~out)))
+    model = docs.sparkSession.sparkContext.broadcast(fit(keyed_text(docs), labels, "quality", rows, ~out))
 
     def run(batches):
         for b in batches:

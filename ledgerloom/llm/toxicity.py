@@ -2,18 +2,20 @@
 
 A word's input is its own embedding, where the fit knows it, and the mean embedding of its
 character triples. The network reads windows of WINDOW words, one every STRIDE words, and a
-document's score is its most toxic window's. Documents' labels train it in numpy: each
-round takes every document's highest window and goes down the gradient through time.
+document's score is its most toxic window's. Documents' labels train it in numpy: in each
+round executors find every labelled document's highest window, and the driver goes down the
+gradient through time on these; it gets no other text. Words that part the labels start
+with their log odds as the first component of their embedding; all else starts at random.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerloom.llm.common import bound_batches, keyed_text
-from ledgerloom.llm.line_quality import fit as labelled_sample
+from ledgerloom.llm.common import bound_batches, keyed_text, release
+from ledgerloom.llm.line_quality import labelled
 from ledgerloom.llm.stream import code_points, groups, letters, mixed
 
 WINDOW, STRIDE = 24, 12
@@ -58,21 +60,17 @@ class Words:
         self.triple, self.triple_n = (mixed(around, 1) % np.uint64(TRIPLES)).astype(np.int64), n
 
     @classmethod
-    def merged(cls, texts: list[str | None]) -> "Words":
-        """The same of many texts, with arrays of characters for one group of them at a time."""
-        parts = [(a, cls(texts[a:b])) for a, b in groups(texts)]
+    def joined(cls, hashes: np.ndarray, triples: list[np.ndarray]) -> tuple["Words", np.ndarray]:
+        """The distinct ones of words given by hash and triples, and the place of each word among them."""
         out = object.__new__(cls)
-        out.texts = len(texts)
-        out.hash, first, number = np.unique(np.concatenate([p.hash for _, p in parts]), return_index=True, return_inverse=True)
-        before = np.cumsum([0, *(len(p.hash) for _, p in parts)])
-        out.number = np.concatenate([number[k + p.number] for k, (_, p) in zip(before, parts)]).astype(np.int32)
-        out.text = np.concatenate([p.text + a for a, p in parts]).astype(np.int32)
-        n = np.concatenate([p.triple_n for _, p in parts])
-        triple, edge = np.concatenate([p.triple for _, p in parts]), np.cumsum(n) - n
-        out.triple_n = n[first]
+        out.hash, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+        out.triple_n = np.array([len(triples[k]) for k in first], np.int64)
         out.triple_edge = np.cumsum(out.triple_n) - out.triple_n
-        out.triple = triple[np.repeat(edge[first] - out.triple_edge, out.triple_n) + np.arange(int(out.triple_n.sum()))]
-        return out
+        out.triple = np.concatenate([triples[k] for k in first]) if len(first) else np.zeros(0, np.int64)
+        return out, number
+
+    def triples_of(self, word: int) -> np.ndarray:
+        return self.triple[self.triple_edge[word] : self.triple_edge[word] + self.triple_n[word]]
 
     def of(self, windows: np.ndarray) -> tuple["Words", np.ndarray]:
         """Only the distinct words in these windows, and the windows in their numbers."""
@@ -217,46 +215,49 @@ class Network:
             g["triple"][:, k] = np.bincount(w.triple, weights=np.repeat(share[:, k], w.triple_n), minlength=TRIPLES)
         return g
 
-    def learn_words(self, w: Words, labels: np.ndarray) -> None:
-        """The words that part the labels most, with their log odds as a first embedding."""
-        both = np.unique(w.text.astype(np.int64) * len(w.hash) + w.number)
-        text, word = both // len(w.hash), both % len(w.hash)
-        n = np.bincount(word, minlength=len(w.hash))
-        bad = np.bincount(word, weights=labels[text], minlength=len(w.hash))
-        rate = max(labels.mean(), 1e-6)
-        pull = (bad - n * rate) / np.sqrt(n * rate * (1 - rate) + 1)
-        best = np.argsort(-np.abs(pull), kind="stable")
-        best = best[n[best] >= LEAST_TEXTS][:VOCABULARY]
-        best = best[np.argsort(w.hash[best])]
-        self.known = w.hash[best]
-        self.p["word"][1 : len(best) + 1, 0] = np.clip(pull[best] / 4, -2, 2)
-
-    def train(self, texts: list[str], labels: list[int]) -> "Network":
-        y = np.array(labels, np.float32)
+    def learn_words(self, hashes: np.ndarray, pull: np.ndarray) -> None:
+        """Known words, with a first embedding by how they part the labels."""
+        order = np.argsort(hashes)
+        self.known = hashes[order]
+        self.p["word"][1 : len(order) + 1, 0] = np.clip(pull[order] / 4, -2, 2)
+
+    def first_scores(self, w: Words, windows: np.ndarray) -> np.ndarray:
+        """Before the first round: the largest first embedding in each window."""
+        return np.r_[self.p["word"][self.vocabulary(w), 0], -9.0][windows].max(1)
+
+    def highest(self, texts: list[str | None], first: bool) -> list[tuple[int, np.ndarray, list[np.ndarray]]]:
+        """Of each text with words: its number, and hashes and triples of the words of its highest window."""
+        out = []
+        for a, b in groups(texts):
+            w = Words(texts[a:b])
+            windows, text = w.windows()
+            score = self.first_scores(w, windows) if first else self.window_scores(w, windows)
+            order = np.lexsort((-score, text))
+            for k in order[np.r_[True, text[order][1:] != text[order][:-1]]] if len(order) else ():
+                words = windows[k][windows[k] < len(w.hash)]
+                out.append((a + int(text[k]), w.hash[words], [w.triples_of(x) for x in words]))
+        return out
+
+    def train(self, labels: list[int], top) -> "Network":
+        """top(network, first) gives, for some of the labelled texts, the label and the words of the highest window."""
         if len(set(labels)) < 2:
             self.p["out"][:] = 0
             self.p["base"][0] = 6.0 if labels and labels[0] else -6.0
             return self
-        w = Words.merged(texts)
-        self.learn_words(w, y)
-        windows, text = w.windows()
-        # before the first round: each text's window with the largest first embedding
-        first = np.r_[self.p["word"][self.vocabulary(w), 0], -9.0]
-        score = first[windows].max(1)
         m, v, step, dice = {}, {}, 0, np.random.default_rng(0)
         for round_ in range(ROUNDS):
-            order = np.lexsort((-score, text))
-            top = order[np.r_[True, text[order][1:] != text[order][:-1]]]
-            own, numbers = w.of(windows[top])
+            found = top(self, round_ == 0)
+            y = np.array([label for label, _, _ in found], np.float32)
+            own, flat = Words.joined(np.concatenate([h for _, h, _ in found]), [t for _, _, ts in found for t in ts])
+            numbers = np.full((len(found), WINDOW), len(own.hash), np.int32)
+            numbers[np.arange(WINDOW) < np.array([len(h) for _, h, _ in found])[:, None]] = flat
             for _ in range(STEPS):
                 step += 1
-                g = self.gradient(own, numbers, y[text[top]], dice.random(len(own.hash)) < UNSEEN)
+                g = self.gradient(own, numbers, y, dice.random(len(own.hash)) < UNSEEN)
                 for k in g:
                     m[k] = 0.9 * m.get(k, 0) + 0.1 * g[k]
                     v[k] = 0.99 * v.get(k, 0) + 0.01 * g[k] ** 2
                     self.p[k] = (self.p[k] * (1 - RATE * DECAY) - RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
-            if round_ + 1 < ROUNDS:
-                score = self.window_scores(w, windows)
         return self
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -272,26 +273,73 @@ class Network:
         return out
 
 
-def score(docs: DataFrame, labels: DataFrame, buckets: int = 3, kept: int = 1, rows: int = FIT_ROWS, row: str | None = None) -> DataFrame:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, learn="true") -> Network:
+    """The network that rows labelled texts teach, whole ones; of them the driver gets words' counts and one window each."""
+    sample = bound_batches(labelled(docs, labels, "toxic", rows, learn))
+    spark = docs.sparkSession
+
+    def count(batches):
+        for b in batches:
+            texts, bad = b.column("text").to_pylist(), b.column("label").to_numpy()
+            for i, j in groups(texts):
+                w = Words(texts[i:j])
+                both = np.unique(w.text.astype(np.int64) * len(w.hash) + w.number)
+                text, word = both // max(len(w.hash), 1), both % max(len(w.hash), 1)
+                n, toxic = np.bincount(word, minlength=len(w.hash)), np.bincount(word, weights=bad[i:j][text], minlength=len(w.hash))
+                yield pa.RecordBatch.from_arrays([pa.array(w.hash.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(toxic.astype(np.int64))], names=["word", "n", "bad"])
+
+    marks = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
+    network = Network()
+    if len(marks) == 2:
+        rate = marks[1] / (marks[0] + marks[1])
+        expected, spread = F.col("n") * F.lit(rate), F.sqrt(F.col("n") * F.lit(rate * (1 - rate)) + F.lit(1.0))
+        words = (
+            sample.mapInArrow(count, "word long, n long, bad long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+            .filter(F.col("n") >= LEAST_TEXTS).select("word", ((F.col("bad") - expected) / spread).alias("pull"))
+            .orderBy(F.desc(F.abs("pull")), "word").limit(VOCABULARY).collect()
+        )
+        network.learn_words(np.array([r[0] for r in words], np.int64).view(np.uint64), np.array([r[1] for r in words], np.float64))
+
+    def top(network: Network, first: bool):
+        model = spark.sparkContext.broadcast(network)
+
+        def windows(batches):
+            for b in batches:
+                ids, marks = b.column("doc_id").to_numpy(), b.column("label").to_numpy()
+                for k, hashes, triples in model.value.highest(b.column("text").to_pylist(), first):
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": pa.array([ids[k]], pa.int64()), "label": pa.array([marks[k]], pa.int32()),
+                        "hashes": pa.array([hashes.view(np.int64)], pa.list_(pa.int64())), "triples": pa.array([triples], pa.list_(pa.list_(pa.int64()))),
+                    })
+
+        found = sorted(sample.mapInArrow(windows, "doc_id long, label int, hashes array<long>, triples array<array<long>>").collect(), key=lambda r: r[0])
+        model.unpersist()
+        return [(r[1], np.array(r[2], np.int64).view(np.uint64), [np.array(t, np.int64) for t in r[3]]) for r in found]
+
+    network.train([label for label, n in marks.items() for _ in range(min(n, 1))], top)
+    release(sample)
+    return network
+
+
+def score(docs: DataFrame, labels: DataFrame, buckets: int = 3, kept: int = 1, rows: int = FIT_ROWS, carry: list[str] = ()) -> DataFrame:
     """doc_id, held_out, score (of toxic 1) and predicted (score >= THRESHOLD) of every row.
 
     Learns from labelled rows whose crc32(doc_id) mod buckets is not kept: rows of them at
-    most, labels other than 0 and 1 left out, of several for one doc_id the least. Every
-    word of every text is in a scored window; words are runs of letters, in lower case. A
-    null text, an empty one and one without letters score 0. Without labels of both kinds
-    the score is the same for all texts with words. A null doc_id counts as an empty string.
-    Rows that repeat each give a row; other columns are not read, but row, a long column
-    that the result has too; an empty table gives an empty result.
+    most, of whole texts (see line_quality.labelled). Every word of every text is in a
+    scored window; words are runs of letters, in lower case. A null text, an empty one and
+    one without letters score 0. Without labels of both kinds the score is the same for all
+    texts with words. A null doc_id counts as an empty string. Rows that repeat each give a
+    row; other columns are not read, but for those named in carry, which the result has too;
+    an empty table gives an empty result.
     """
-    more = [] if row is None else [row]
     out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % buckets == kept
-    texts = keyed_text(docs, *more)
-    network = Network().train(*labelled_sample(texts, labels, "toxic", rows, ~out))
-    model = docs.sparkSession.sparkContext.broadcast(network)
+    texts = keyed_text(docs, *carry)
+    model = docs.sparkSession.sparkContext.broadcast(fit(texts, labels, rows, ~out))
 
     def run(batches):
         for b in batches:
             found = model.value.scores(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(found, pa.float64()), pa.array((found >= THRESHOLD).astype(np.int32)), *(b.column(c) for c in more)], names=["doc_id", "held_out", "score", "predicted", *more])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(found, pa.float64()), pa.array((found >= THRESHOLD).astype(np.int32)), *(b.column(c) for c in carry)], names=["doc_id", "held_out", "score", "predicted", *carry])
 
-    return bound_batches(texts.withColumn("held_out", out)).mapInArrow(run, ", ".join([RESULT, *(f"{c} long" for c in more)]))
+    result = T.StructType([*T._parse_datatype_string(RESULT).fields, *(texts.schema[c] for c in carry)])
+    return bound_batches(texts.withColumn("held_out", out)).mapInArrow(run, result)

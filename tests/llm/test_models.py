@@ -47,13 +47,40 @@ def test_more_languages_than_a_word_has_bits(spark):
     assert all(got[i] == lang for i, _, lang in rows if i in got)
 
 
-def test_filters_return_every_inserted_language():
-    a, b = ["ab abc ab" * 5] * 3, ["abc xyz" * 5] * 3
-    f = language_id.LanguageFilter({"a": a, "b": b})
+def test_filters_return_every_inserted_language(spark):
+    docs = spark.createDataFrame([(i, t * 5 + str(i), lang) for i in range(4) for lang, t in (("a", "ab abc ab"), ("b", "abc xyz"))], "doc_id long, text string, lang string")
+    f = language_id.fit(docs)
     h = np.unique(language_id.ngrams(language_id.code_points(["abc " * 4])[0])[0])
     mask = f.tables[0][language_id.slots(h)[0]]
     assert (mask & 3).all() and (f.false < 0.01).all()
-    assert f.predict(["xyz xyz", "ab ab ab"])[0] == ["b", "a"]
+    assert f.predict(["xyz xyz", "ab ab ab", "漢字"])[0] == ["b", "a", "a"]
+
+
+def test_language_scores_against_brute_force(spark):
+    """The filters' popcounts against sets of n-grams counted in plain Python."""
+    dice = random.Random(21)
+    rows = [(i, sentence(dice, lang, 30), lang) for i in range(90) for lang in [list(SYLLABLES)[i % 3]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    grams = lambda t: ["".join(c if c.isalpha() else " " for c in f"\n{t.lower()}\n"[k - 1 : k + 2]) for k in range(1, len(t) + 1) if t[k - 1].isalpha()]
+    seen = {lang: {} for lang in SYLLABLES}
+    for i, text, lang in rows:
+        if crc(i) % 4 != 2:
+            for g in grams(text):
+                seen[lang][g] = seen[lang].get(g, 0) + 1
+    share = {lang: {g: n / sum(of.values()) for g, n in of.items()} for lang, of in seen.items()}
+    most = {g: max(s.get(g, 0) for s in share.values()) for s in share.values() for g in s}
+    own = {lang: {g for g, n in of.items() if n >= language_id.LEAST_COUNT and share[lang][g] >= language_id.LEAST_SHARE * most[g]} for lang, of in seen.items()}
+    for r in language_id.identify(docs).collect():
+        hits = {lang: sum(g in own[lang] for g in grams(rows[r.doc_id][1])) for lang in sorted(own)}
+        assert r.lang_pred == max(hits, key=hits.get) and r.score == pytest.approx(hits[r.lang_pred] / sum(hits.values()), abs=1e-3)
+
+
+def test_long_texts_alone_teach_a_language_and_repeated_rows_one_text(spark):
+    dice = random.Random(8)
+    rows = [(i, sentence(dice, "xx", 40), "xx") for i in range(40)] + [(100 + i, sentence(dice, "zz", 9000), "zz") for i in range(12)] + [(7778, "ŵŷ ŵ ŷŷ " * 5, "copies")] * 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.identify(docs, rows=3).collect()
+    assert all(r.lang_pred == "zz" for r in got if 100 <= r.doc_id < 200) and all(r.lang_pred == "copies" for r in got if r.doc_id == 7778)
 
 
 def labelled(dice):
@@ -88,13 +115,65 @@ def test_classifiers(spark, run, column, buckets, kept):
     assert len({round(r.score, 6) for r in run(docs.limit(20), marks.limit(0)).collect() if r.doc_id is not None and r.doc_id < 500}) == 1
 
 
-def test_network_gradient(monkeypatch):
-    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 1)
+@pytest.mark.parametrize("run, column", [(line_quality.classify, 1), (toxicity.score, 2)])
+def test_long_texts_teach_too(spark, run, column):
+    """All texts with the label that is looked for have more than 20,000 characters."""
+    dice = random.Random(5)
+    rows, labels = [], []
+    for i in range(200):
+        long = i % 2
+        lines = [sentence(dice, "xx", 12) for _ in range(400 if long else 4)]
+        if column == 2 and long:
+            lines[100] += " " + NASTY[0]
+        if column == 1 and not long:
+            lines = [" ".join(w + "***" for w in x.split()) for x in lines]
+        rows.append((i, "\n".join(lines)))
+        labels.append((i, long, long))
+    assert min(len(t) for i, t in rows if i % 2) > 20_000
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert np.mean([r.predicted == r.doc_id % 2 for r in run(docs, marks).collect()]) > 0.95
+
+
+def test_network_scores_against_plain_loops():
+    """Gates, states and attention of each window, one number at a time."""
+    net, texts = toxicity.Network(3), ["bad you a b c " * 9, "the cat", "", "x y z"]
+    net.learn_words(toxicity.Words(texts[:2]).hash[:4], np.array([3.0, -2.0, 1.0, 4.0]))
+    net.p["out"] *= 9
+    p, h = {k: v.astype(float) for k, v in net.p.items()}, toxicity.HIDDEN
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+
+    def window_score(w, tokens):
+        inputs = []
+        for token in tokens:
+            place = list(net.known).index(w.hash[token]) + 1 if w.hash[token] in net.known else 0
+            inputs.append(np.r_[p["word"][place], np.mean([p["triple"][t] for t in w.triples_of(token)], axis=0)])
+        states = []
+        for side, name in enumerate(("ahead", "back")):
+            state, made = np.zeros(h), []
+            for x in inputs if side == 0 else inputs[::-1]:
+                gate, own = x @ p["in"][:, side * 3 * h : (side + 1) * 3 * h] + p["bias"][side * 3 * h : (side + 1) * 3 * h], state @ p[name]
+                z, r = logistic(gate[:h] + own[:h]), logistic(gate[h : 2 * h] + own[h : 2 * h])
+                state = (1 - z) * np.tanh(gate[2 * h :] + r * own[2 * h :]) + z * state
+                made.append(state)
+            states.append(made if side == 0 else made[::-1])
+        states = [np.r_[a, b] for a, b in zip(*states)]
+        look = np.exp([s @ p["look"] for s in states])
+        return sum(x * s for x, s in zip(look / look.sum(), states)) @ p["out"] + p["base"][0]
+
+    got = net.scores(texts)
+    for text, score in zip(texts, got):
+        w = toxicity.Words([text])
+        n = len(w.number)
+        starts = range(0, max(n - toxicity.WINDOW, 0) + toxicity.STRIDE, toxicity.STRIDE) if n else []
+        best = max((window_score(w, w.number[i : i + toxicity.WINDOW]) for i in starts if i == 0 or i - toxicity.STRIDE + toxicity.WINDOW < n), default=None)
+        assert score == pytest.approx(0 if best is None else logistic(best), abs=1e-4)
+
+
+def test_network_gradient():
     net, words = toxicity.Network(1), toxicity.Words(["bad you a b c " * 3, "the cat sat on mat", "x"])
-    net.learn_words(words, np.array([1, 0, 0.0]))
+    net.learn_words(words.hash, np.linspace(-3, 3, len(words.hash)))
     windows, text = words.windows()
     assert len(windows) == 3 and (np.bincount(text, minlength=3) == 1).all()
-    words, windows = words.of(windows)
     y = np.array([1, 0, 0], np.float32)[text]
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     g = net.gradient(words, windows, y)
@@ -130,7 +209,7 @@ def test_windows_cover_every_word():
 
 
 def test_chain_marginals_against_all_paths():
-    model = line_quality.LineModel([], [])
+    model = line_quality.LineModel([])
     rng = np.random.default_rng(0)
     model.moves, model.start = rng.normal(size=(2, 2)), 0.7
     e, d = rng.normal(size=7), np.array([0, 0, 0, 0, 1, 2, 2])
@@ -151,13 +230,21 @@ def test_chain_marginals_against_all_paths():
     assert np.allclose(p, want) and np.allclose(two, pairs)
 
 
-def test_words_of_groups_equal_words_of_all(monkeypatch):
+def test_highest_windows_do_not_depend_on_groups(monkeypatch):
     dice = random.Random(6)
     texts = [None, "", *(sentence(dice, dice.choice(list(SYLLABLES)), dice.randint(0, 60)) for _ in range(40))]
-    whole = toxicity.Words(texts)
+    net = toxicity.Network(2)
+    whole = net.highest(texts, False)
     monkeypatch.setattr("ledgerloom.llm.stream.GROUP_CHARS", 300)
-    parts = toxicity.Words.merged(texts)
-    for name in ("hash", "number", "text", "triple", "triple_edge", "triple_n"):
-        assert (getattr(whole, name) == getattr(parts, name)).all(), name
-    for a, b in zip(whole.windows(), parts.windows()):
-        assert (a == b).all()
+    parts = net.highest(texts, False)
+    assert [k for k, _, _ in whole] == [k for k, _, _ in parts] == [i for i, t in enumerate(texts) if t]
+    for (_, h, t), (_, h2, t2) in zip(whole, parts):
+        assert (h == h2).all() and all((x == y).all() for x, y in zip(t, t2))
+
+
+def test_a_learnt_line_model_is_the_same_on_spark_and_off(spark):
+    rows, labels = labelled(random.Random(3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double").repartition(3)
+    model = line_quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "quality")
+    local = line_quality.LineModel.of([t for _, t, _ in rows], [q for _, q, _ in labels])
+    assert np.allclose(model.weights, local.weights) and np.allclose(model.moves, local.moves)

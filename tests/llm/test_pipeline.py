@@ -68,3 +68,20 @@ def test_rows_that_share_a_doc_id_have_their_own_verdicts(spark, folder):
     other = docs.filter("doc_id < 4").selectExpr("doc_id", "reverse(text) text", "lang", "source", "n_chars")
     few = docs.filter("doc_id < 4").unionByName(other)
     assert pipeline.distinct(spark, few, folder).count() == 8
+
+
+def test_empty_tables_clashing_columns_and_nulls(spark, folder):
+    """Columns named as the operators' own, null rows, and no rows."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    clash = ["row", "doc", "carry", "kept", "x0", "_copies", "copies", "class_id", "predicted", "score", "taken", "size", "label", "key", "node", "component", "own", "col"]
+    more = docs.selectExpr("*", *[f"cast(doc_id as string) {c}" for c in clash])
+    nulls = spark.createDataFrame([tuple([None] * len(more.columns))] * 2 + [(None, "", None, None, *[None] * (len(more.columns) - 4))], more.schema)
+    for k, (name, stage) in enumerate(pipeline.STAGES):
+        assert stage(spark, more.limit(0), folder).collect() == [], name
+        out = stage(spark, more.filter("doc_id < 60").unionByName(nulls), folder)
+        rows = out.collect()
+        if k < len(pipeline.STAGES) - 1:
+            assert out.columns == more.columns, name
+            assert all(r.key == r.row == str(r.doc_id) for r in rows if r.doc_id is not None), name
+        assert sum(r.doc_id is None for r in rows) == (0, 3, 3, 0, 3)[k], name
+        assert {r.doc_id for r in rows if r.doc_id is not None} <= set(range(60)) and len(rows) > 20, name
