@@ -15,6 +15,8 @@ from ledgerloom.schema import CONTRACTS
 
 DATE_FORM = r"^\d{4}-\d{2}-\d{2}$"
 DECIMAL_FORM = r"^[+-]?(\d+(\.\d{0,2}0*)?|\.\d{1,2}0*)$"
+#: Tables whose amounts must have signs.
+SIGNED = ("transactions",)
 INT_FORM = r"^[+-]?\d+$"
 
 
@@ -44,35 +46,52 @@ def check_columns(actual: Iterable[str], table: str) -> None:
         raise ContractError(f"{table}: columns missing: {lost}; not in the contract: {odd}")
 
 
-def report(raw: DataFrame, table: str) -> DataFrame:
-    """A row for each column: rows, how many miss a value, how many have a bad one, and the least bad one."""
-    contract = CONTRACTS[table]
+def counts(raw: DataFrame, table: str) -> DataFrame:
+    """One row: rows, and of each column how many miss a value, how many have a bad one, and the least bad one; of amounts their signs."""
     aggs = [F.count("*").alias("rows")]
-    for f in contract:
+    for f in CONTRACTS[table]:
         c = F.col(f.name).cast("string")
         bad = ~missing(c) & ~F.coalesce(valid(c, f.dataType), F.lit(False))
         aggs.append(F.struct(
             F.count_if(missing(c)).alias("missing"), F.count_if(bad).alias("invalid"), F.min(F.when(bad, c)).alias("example"),
         ).alias(f.name))
-    one = raw.agg(*aggs)
-    parts = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.nullable).alias("nullable"), F.col(f.name)["missing"].alias("missing"), F.col(f.name)["invalid"].alias("invalid"), F.col(f.name)["example"].alias("example")) for f in contract])
-    return one.select("rows", F.explode(parts).alias("p")).select("p.column", "rows", "p.nullable", "p.missing", "p.invalid", "p.example")
+    return raw.agg(*aggs, *([signs().alias("_signs")] if table in SIGNED else []))
+
+
+def signs() -> Column:
+    amount = F.col("amount").cast("string").try_cast("decimal(38,10)")
+    return F.struct(F.count("*").alias("n"), F.count_if(amount.isNull()).alias("lost"), F.count_if(amount == 0).alias("zero"), F.count_if(amount > 0).alias("up"))
+
+
+def report(raw: DataFrame, table: str) -> DataFrame:
+    """A row for each column: rows, how many miss a value, how many have a bad one, and the least bad one."""
+    column = lambda f: F.struct(F.lit(f.name).alias("column"), F.col("rows"), F.lit(f.nullable).alias("nullable"), *[F.col(f.name)[x].alias(x) for x in ("missing", "invalid", "example")])
+    return counts(raw, table).select(F.inline(F.array(*map(column, CONTRACTS[table]))))
 
 
 def check_rows(raw: DataFrame, table: str) -> int:
-    """The number of rows, or an error that names every bad column with a value."""
-    found = report(raw, table).collect()
-    problems = [f"{r.column}: {r.missing} rows without a value" for r in found if r.missing and not r.nullable]
-    problems += [f"{r.column}: {r.invalid} values such as {r.example!r} aren't {CONTRACTS[table][r.column].dataType.simpleString()}" for r in found if r.invalid]
+    """The number of rows, or an error that names every bad column with a value, or what is wrong with amounts' signs; one scan."""
+    found = counts(raw, table).first()
+    problems = []
+    for f in CONTRACTS[table]:
+        r = found[f.name]
+        if r.missing and not f.nullable:
+            problems.append(f"{f.name}: {r.missing} rows without a value")
+        if r.invalid:
+            problems.append(f"{f.name}: {r.invalid} values such as {r.example!r} aren't {f.dataType.simpleString()}")
     if problems:
         raise ContractError(f"{table}: " + "; ".join(problems))
-    return found[0].rows if found else 0
+    if table in SIGNED:
+        judge_signs(found["_signs"], table)
+    return found.rows
 
 
 def check_signed_amounts(raw: DataFrame, table: str) -> None:
     """There are rows, all with an amount that isn't zero, and not all of them inflows."""
-    amount = F.col("amount").cast("string").try_cast("decimal(38,10)")
-    r = raw.agg(F.count("*").alias("n"), F.count_if(amount.isNull()).alias("lost"), F.count_if(amount == 0).alias("zero"), F.count_if(amount > 0).alias("up")).first()
+    judge_signs(raw.agg(signs().alias("s")).first().s, table)
+
+
+def judge_signs(r, table: str) -> None:
     for bad, text in ((not r.n, "no rows"), (r.lost, f"{r.lost} are missing or not numbers"), (r.zero, f"{r.zero} are zero"), (r.n and r.up == r.n, "all are positive: the feed seems to have no signs")):
         if bad:
             raise ContractError(f"{table}.amount: {text}")

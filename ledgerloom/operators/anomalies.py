@@ -15,8 +15,10 @@ GROUP = ("user_id", "category")
 
 
 def _moments(frame) -> Column:
-    total = lambda c: F.sum(c).over(frame)
-    return F.struct(F.coalesce(total("n"), F.lit(0)).alias("n"), total("s").alias("s"), total("q").alias("q"))
+    """n, s and d of a frame; q too, null where a day's or their sum passes 38 digits."""
+    total = lambda c: F.try_sum(c).over(frame)
+    lost = F.max(F.col("q").isNull()).over(frame)
+    return F.struct(F.coalesce(total("n"), F.lit(0)).alias("n"), total("s").alias("s"), F.when(~lost, total("q")).alias("q"), total("d").alias("d"))
 
 
 def score_anomalies(txns: DataFrame, window_days: int = 90, min_history: int = 5, z_threshold: float = 3.0) -> DataFrame:
@@ -29,18 +31,21 @@ def score_anomalies(txns: DataFrame, window_days: int = 90, min_history: int = 5
     out = txns.filter(F.col("flow") == "outflow").withColumn("_day", F.unix_date("posted_date"))
     cents = (-F.col("amount") * 100).cast("decimal(18,0)")
     days = out.groupBy(*GROUP, "_day").agg(
-        F.count("amount").alias("n"), F.sum(cents).cast("decimal(38,0)").alias("s"), F.sum((cents * cents).cast("decimal(38,0)")).cast("decimal(38,0)").alias("q"))
+        F.count("amount").alias("n"), F.sum(cents).cast("decimal(38,0)").alias("s"), F.try_sum((cents * cents).cast("decimal(38,0)")).cast("decimal(38,0)").alias("q"),
+        F.sum(cents.cast("double") * cents.cast("double")).alias("d"))
     line = Window.partitionBy(*GROUP).orderBy("_day")
     both = days.withColumns({"_recent": _moments(line.rangeBetween(-window_days, -1)), "_all": _moments(line.rangeBetween(Window.unboundedPreceding, -1))})
     recent = F.col("_recent")["n"] >= min_history
-    n, s, q = (F.col("_base")[x] for x in "nsq")
-    spread = n * q - s * s
+    n, s, q, d = (F.col("_base")[x] for x in "nsqd")
+    # exact, but for amounts whose squares pass 38 digits
+    exact = F.try_subtract(F.try_multiply(n.cast("decimal(20,0)"), q), F.try_multiply(s, s)).cast("double")
+    spread = F.coalesce(exact, n * d - s.cast("double") * s.cast("double"))
     baselines = (
         both.select(*GROUP, "_day", F.when(recent, "recent").otherwise("history").alias("baseline_scope"), F.when(recent, F.col("_recent")).otherwise(F.col("_all")).alias("_base"))
         .select(
             *[F.col(c).alias(f"_of_{c}") for c in (*GROUP, "_day")], "baseline_scope", n.alias("baseline_count"),
             F.when(n > 0, s.cast("double") / n / F.lit(100.0)).alias("baseline_mean"),
-            F.when(n > 1, F.sqrt(spread.cast("double") / n / (n - 1)) / F.lit(100.0)).alias("baseline_stddev"),
+            F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / n / (n - 1)) / F.lit(100.0)).alias("baseline_stddev"),
             ((n >= min_history) & (spread > 0)).alias("_fit"),
         )
     )

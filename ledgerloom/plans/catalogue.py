@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.errors import RowCountError
 from ledgerloom.functions import contracts
+from ledgerloom.functions.rules import rules_frame
 from ledgerloom.operators import anomalies as scoring, balances, ledger as ops, metrics
 from ledgerloom.plans import adapters
+from ledgerloom.schema import AUDIT
+from ledgerloom.sources import files, synth
+from ledgerloom.sources.tables import write_table
 
 WINDOW_DAYS = 4
+GENERATED_USERS, GENERATED_MONTHS = 40, 6
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +45,44 @@ def _validation(spark, sf_dir):
     return contracts.report(spoiled, "transactions")
 
 
+def _folder(spark) -> str:
+    """A new folder that driver and executors share."""
+    import tempfile
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared}/ledger-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="ledgerloom-")
+
+
+def _ingested(spark, sf_dir):
+    """The ledger, written as CSV files and read back through the contract."""
+    root = _folder(spark)
+    texts = adapters.ledger(spark, sf_dir)
+    texts.select(*[F.col(c).cast("string").alias(c) for c in texts.columns]).write.option("header", True).option("emptyValue", "").csv(f"{root}/transactions")
+    return files.ingest(spark, root, "transactions")[0].drop(*AUDIT)
+
+
+def _guarded(spark, sf_dir):
+    """Rows by merchant of a table that was written twice with the right number of rows and once with a wrong one."""
+    name = "ledgerloom_guarded_write"
+    ledger_ = adapters.ledger(spark, sf_dir)
+    rows = ledger_.count()
+    write_table(ledger_.limit(3), name)
+    write_table(ledger_, name, rows)
+    try:
+        write_table(ledger_.limit(5), name, rows)
+        refused = False
+    except RowCountError:
+        refused = True
+    found = [tuple(r) for r in spark.table(name).groupBy("merchant").count().collect()]
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([(*r, refused) for r in found], "merchant string, rows long, refused boolean")
+
+
+def _generated(table):
+    return lambda s, d: synth.generate(s, table, GENERATED_USERS, GENERATED_MONTHS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger": adapters.ledger,
     "dedup_transactions": lambda s, d: ops.dedup_transactions(adapters.ledger(s, d)),
@@ -56,6 +100,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomalies": lambda s, d: _rounded(scoring.anomalies(scoring.score_anomalies(_silver(s, d), 7))),
     "anomaly_recall": lambda s, d: scoring.anomaly_recall(scoring.score_anomalies(_silver(s, d), 7), 7).drop("computed_at").withColumns({c: F.round(c, 6) for c in ("recall", "precision")}),
     "validation_report": _validation,
+    "rules_relation": lambda s, d: rules_frame(s, adapters.RULES),
+    "ingest_transactions": _ingested,
+    "guarded_write": _guarded,
+    "generated_accounts": lambda s, d: _generated("accounts")(s, d).select("user_id", "account_id", "account_type"),
+    "generated_snapshots": lambda s, d: _generated("balance_snapshots")(s, d).select("user_id", "account_id", "snapshot_date"),
+    "generated_duplicates": lambda s, d: _generated("transactions")(s, d).groupBy("user_id").agg(F.min("transaction_id").alias("first_id"), (F.max(F.substring("transaction_id", -6, 6).cast("long")) + 1 - F.count_distinct("transaction_id")).alias("gaps"), F.min(F.col("amount") != 0).alias("signed")),
 }
 
 _LEDGER = """ledger AS (
@@ -166,6 +216,16 @@ ORACLES: dict[str, str] = {
     "anomaly_recall": f"""WITH {_scores(7)}, counts AS (
         SELECT count(*) FILTER (is_planted_anomaly) AS planted, count(*) FILTER (is_planted_anomaly AND is_anomaly) AS caught, count(*) FILTER (is_anomaly) AS flagged FROM scored)
       SELECT planted, caught, flagged, round(caught / nullif(planted, 0)::DOUBLE, 6) AS recall, round(caught / nullif(flagged, 0)::DOUBLE, 6) AS "precision", 3.0::DOUBLE AS z_threshold, 7 AS window_days FROM counts""",
+    "rules_relation": """SELECT * FROM (VALUES (10, 'description', 'contains', 'purch', 'Shopping'), (20, 'merchant', 'equals', 'SIGNUP', 'Income'),
+        (30, 'description', 'starts_with', 'view ', 'Browsing'), (40, 'merchant', 'regex', 'click|view', 'Engagement')) r(priority, field, operator, "value", category)""",
+    "ingest_transactions": f"WITH {_LEDGER} SELECT * FROM ledger",
+    "guarded_write": f"WITH {_LEDGER} SELECT merchant, count(*) AS rows, true AS refused FROM ledger GROUP BY merchant",
+    "generated_accounts": f"""SELECT 'u' || lpad(u::VARCHAR, 6, '0') AS user_id, 'u' || lpad(u::VARCHAR, 6, '0') || '-' || k AS account_id, t AS account_type
+        FROM range({GENERATED_USERS}) r(u), (VALUES ('chk', 'checking'), ('sav', 'savings'), ('crd', 'card')) a(k, t)""",
+    "generated_snapshots": f"""SELECT 'u' || lpad(u::VARCHAR, 6, '0') AS user_id, 'u' || lpad(u::VARCHAR, 6, '0') || '-' || k AS account_id,
+        last_day((DATE '2024-09-01' + to_months(m::INTEGER))::DATE) AS snapshot_date FROM range({GENERATED_USERS}) r(u), range({GENERATED_MONTHS}) n(m), (VALUES ('chk'), ('sav'), ('crd')) a(k)""",
+    "generated_duplicates": f"""SELECT 'u' || lpad(u::VARCHAR, 6, '0') AS user_id, 'u' || lpad(u::VARCHAR, 6, '0') || '-000000' AS first_id, 0::BIGINT AS gaps, true AS signed
+        FROM range({GENERATED_USERS}) r(u)""",
     "validation_report": f"""WITH {_LEDGER}, raw AS (
         SELECT *, right(transaction_id, 2) AS tail FROM ledger
       ), c AS (

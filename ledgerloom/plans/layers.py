@@ -47,9 +47,10 @@ def gold(spark: SparkSession, settings: Settings) -> dict[str, int]:
     history = spark.table(settings.table("silver_account_balance_history"))
     days, z = settings.anomaly_window_days, settings.anomaly_z_threshold
     scored = anomalies.score_anomalies(txns, days, settings.anomaly_min_history, z).persist()
+    totals = metrics.monthly_totals(txns).persist()
     made = {
-        "gold_monthly_spend_by_category": metrics.monthly_spend_by_category(txns),
-        "gold_cash_flow_monthly": metrics.cash_flow_monthly(txns),
+        "gold_monthly_spend_by_category": metrics.spend_of(totals),
+        "gold_cash_flow_monthly": metrics.cash_flow_of(totals),
         "gold_net_worth_daily": balances.net_worth_daily(history),
         "gold_anomalies": anomalies.anomalies(scored),
         "gold_anomaly_recall": anomalies.anomaly_recall(scored, days, z),
@@ -58,3 +59,4 @@ def gold(spark: SparkSession, settings: Settings) -> dict[str, int]:
         return {name: write_table(df, settings.table(name)) for name, df in made.items()}
     finally:
         scored.unpersist()
+        totals.unpersist()

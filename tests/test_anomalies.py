@@ -59,3 +59,18 @@ def test_recall(spark):
     empty = anomalies.anomaly_recall(anomalies.score_anomalies(frame(spark, []))).collect()
     assert [(r.planted, r.caught, r.flagged, r.recall, r.precision) for r in empty] == [(0, 0, 0, None, None)]
     assert anomalies.anomalies(anomalies.score_anomalies(frame(spark, [(0, 1)]))).collect() == []
+
+
+def test_amounts_of_the_whole_contract(spark):
+    """Squares of the largest amounts pass 38 digits; the scores then come from floats."""
+    from datetime import date, timedelta
+    from decimal import Decimal
+
+    from ledgerloom.operators.anomalies import score_anomalies
+
+    top = Decimal("9999999999999999.99")
+    amounts = [-top, -top / 2, -top, -top / 2] * 60 + [-top]
+    rows = [("u", "c", "outflow", date(2024, 1, 1) + timedelta(days=i // 30), a.quantize(Decimal("0.01"))) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, "user_id string, category string, flow string, posted_date date, amount decimal(18,2)")
+    last = score_anomalies(df).orderBy("posted_date").collect()[-1]
+    assert last.baseline_count == 240 and abs(last.baseline_mean / 7.5e15 - 1) < 1e-9 and abs(last.z_score - 0.998) < 0.01

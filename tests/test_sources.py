@@ -133,3 +133,15 @@ def test_incremental_ingest(spark, tmp_path):
     put(tmp_path / "in/transactions/z.csv", HEAD + "u,a,t3,2026-03-41,-1.50,m,d,,false\n")
     with pytest.raises(ContractError):
         go()
+
+
+def test_an_interrupted_swap_comes_back(spark):
+    from ledgerloom.sources import tables
+
+    spark.createDataFrame([(1,)], "a int").write.mode("overwrite").saveAsTable("swap__before")
+    spark.sql("DROP TABLE IF EXISTS swap")
+    tables.restore(spark, "swap")
+    assert spark.table("swap").count() == 1 and not spark.catalog.tableExists("swap__before")
+    assert tables.write_table(spark.range(4), "swap", 4) == 4 and spark.table("swap").columns == ["id"]
+    assert not spark.catalog.tableExists("swap__before") and not spark.catalog.tableExists("swap__staged")
+    spark.sql("DROP TABLE swap")
