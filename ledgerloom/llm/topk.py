@@ -5,7 +5,8 @@ located digit by digit: each pass scores all blocks, counts the scores inside th
 that is still open into equal bins, sums the counts over all blocks and keeps the bin that
 holds the kth score, until a bin is one integer wide. A block leaves out bins under its own
 kth score of a query, which can't hold the global one. Then a last pass keeps scores above
-the kth and, of those equal to it, the smallest ids.
+the kth and, of those equal to it, the smallest ids. Products that floats can't hold are
+made of whole numbers of any length.
 """
 
 from __future__ import annotations
@@ -14,22 +15,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import bound_batches
+from ledgerloom.llm.common import bound_batches, cut_lineage, release
 
 BINS = 1 << 11
-QUERY_BLOCK = 4096
-CELLS = 1 << 22
+#: Queries, and their components, that are scored in one pass.
+QUERY_BLOCK, QUERY_CELLS = 1 << 14, 1 << 22
+CELLS, HELD = 1 << 22, 1 << 18
+#: Floats add whole products exactly up to EXACT; scores end at MOST.
+EXACT, MOST = 2.0**52, 1 << 61
 RESULT = "query_id long, rank int, vec_id long, score long"
 
 
 def quantize(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and v (floor(scale * x) as doubles); rows with a null or non-finite part go."""
+    """vec_id and v (floor(scale * x) as doubles, 1e300 at most); rows with a null or non-finite part go."""
     x = F.col("embedding").cast("array<double>")
+    fits = lambda e: F.abs(e * F.lit(float(scale))) < F.lit(EXACT)
+    large = lambda e: F.greatest(F.least(e * F.lit(float(scale)), F.lit(1e300)), F.lit(-1e300))
     whole = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
     return (
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("embedding"))
         .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole)
-        .select("vec_id", F.transform("embedding", lambda e: F.floor(e * F.lit(float(scale))).cast("double")).alias("v"))
+        .select("vec_id", F.transform("embedding", lambda e: F.when(fits(e), F.floor(F.when(fits(e), e * F.lit(float(scale)))).cast("double")).otherwise(large(e))).alias("v"))
     )
 
 
@@ -45,6 +51,21 @@ def blocks(batches):
             yield int(n), ids[at], flat[start[at][:, None] + np.arange(n)[None, :]]
 
 
+def scored(queries: np.ndarray, matrix: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whole inner products, cut off at MOST; lengths: those of the matrix's rows."""
+    with np.errstate(all="ignore"):
+        wide = np.sqrt((queries * queries).sum(1))[:, None] * lengths[None, :] >= EXACT
+        s = queries @ matrix.T
+    if not wide.any():
+        return s.astype(np.int64)
+    s = np.where(wide, 0, s).astype(np.int64)
+    rows, columns = np.flatnonzero(wide.any(1)), np.flatnonzero(wide.any(0))
+    whole = lambda m: np.array([[int(x) for x in r] for r in m], object)
+    exact = whole(queries[rows]) @ whole(matrix[columns]).T
+    s[np.ix_(rows, columns)] = np.array([[max(-MOST, min(MOST, x)) for x in r] for r in exact], np.int64)
+    return s
+
+
 class Queries:
     """A block of queries with, for each, the open interval of scores and the rank left in it."""
 
@@ -67,8 +88,10 @@ class Queries:
                 continue
             at, queries = self.of[n]
             step = max(1, CELLS // max(len(ids), 1))
+            with np.errstate(over="ignore"):
+                lengths = np.sqrt((matrix * matrix).sum(1))
             for i in range(0, len(at), step):
-                s = (queries[i : i + step] @ matrix.T).astype(np.int64)
+                s = scored(queries[i : i + step], matrix, lengths)
                 own = self.ids[at[i : i + step]][:, None] == ids[None, :]
                 s[own] = np.iinfo(np.int64).min
                 yield at[i : i + step], ids, s, own
@@ -82,23 +105,26 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     or non-finite parts take no part; vectors of another length aren't scored with a query;
     an empty vector scores 0. A candidate row that repeats counts as often; a query id that
     repeats is taken once (its least vector). Fewer than k candidates give all of them;
-    empty tables give an empty result. Other columns are not read.
+    empty tables give an empty result. Other columns are not read. All finite vectors take
+    part, and scores are exact up to MOST = 2^61, where larger ones are cut off (a score is
+    a long); parts over 1e300 / scale count as that.
     """
     spark = vectors.sparkSession
     candidates = bound_batches(quantize(vectors, scale))
-    asked = quantize(queries, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = cut_lineage(quantize(queries, scale).groupBy("vec_id").agg(F.min("v").alias("v")))
     norm = lambda d: d.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    n, top = asked.count(), norm(candidates)
+    (n, cells), top = asked.agg(F.count("*"), F.sum(F.size("v"))).first(), norm(candidates)
     out = spark.createDataFrame([], RESULT)
     if not n or top is None:
         return out
-    reach = int(np.sqrt(top) * np.sqrt(norm(asked))) + 2
-    parts = -(-n // QUERY_BLOCK)
+    reach = int(min(np.sqrt(top) * np.sqrt(norm(asked)), MOST)) + 2
+    parts = max(-(-n // QUERY_BLOCK), -(-cells // QUERY_CELLS))
     for part in range(parts):
         rows = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).collect()
         if rows:
             found = select_block(candidates, Queries(rows, k), k, reach)
-            out = found if part == 0 else out.unionByName(found)
+            out = out.unionByName(found)
+    release(asked)
     return out
 
 
@@ -116,11 +142,14 @@ def select_block(candidates: DataFrame, q: Queries, k: int, reach: int) -> DataF
                 kk = min(k, s.shape[1])
                 floor = np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk]
                 low = q.low[at]
-                inside = (s >= np.maximum(low, floor)[:, None]) & (s < (low + q.width)[:, None]) & ~own
-                i, j = np.nonzero(inside)
-                cell, number = np.unique(at[i] * BINS + (s[i, j] - low[i]) // step, return_counts=True)
+                i, j = np.nonzero((s >= np.maximum(low, floor)[:, None]) & ~own)
+                bin_ = (s[i, j] - low[i]) // step
+                cell, number = np.unique((at[i] * BINS + bin_)[bin_ < BINS], return_counts=True)
                 for c, x in zip(cell.tolist(), number.tolist()):
                     made[c] = made.get(c, 0) + x
+                if len(made) > HELD:
+                    yield pa.RecordBatch.from_pydict({"cell": pa.array(made.keys(), pa.int64()), "n": pa.array(made.values(), pa.int64())})
+                    made = {}
             yield pa.RecordBatch.from_pydict({"cell": pa.array(made.keys(), pa.int64()), "n": pa.array(made.values(), pa.int64())})
 
         histogram = candidates.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))

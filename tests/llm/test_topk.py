@@ -11,7 +11,7 @@ def brute(rows, queries, k):
     out = set()
     for q, v in ok:
         if q in queries:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok if i != q and len(w) == len(v))
+            scored = sorted((-max(-(2**61), min(2**61, sum(a * b for a, b in zip(v, w)))), i) for i, w in ok if i != q and len(w) == len(v))
             out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])}
     return out
 
@@ -29,6 +29,19 @@ def test_against_brute_force(spark, monkeypatch, bins):
     assert got == brute(rows, set(range(0, 500, 50)), 5)
 
 
+@pytest.mark.parametrize("bins", [64, 2048])
+def test_large_finite_values_are_exact(spark, monkeypatch, bins):
+    """Products over 2^53, over 2^63, and parts whose squares no float holds."""
+    monkeypatch.setattr(topk, "BINS", bins)
+    monkeypatch.setattr(topk, "QUERY_CELLS", 7)
+    dice = random.Random(1)
+    rows = [(i, [dice.choice([1.0, -1.0]) * dice.random() * 2.0 ** dice.choice([0, 20, 24, 30]) for _ in range(3)]) for i in range(80)]
+    rows += [(100, [1e17, 1.0, -1e17]), (101, [1e17, 3.0, 1e17]), (150, [1e290, 0.0, 1.0]), (151, [-1e290, 1e-9, 7.0]), (152, [0.0, 3e13, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {tuple(r) for r in topk.top_k(df, df.filter("vec_id % 50 = 0"), 5).collect()}
+    assert got == brute(rows, {0, 50, 100, 150}, 5)
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(df, df.filter("vec_id = 0"), 5).collect()] == [(0, 1, 1, 256 * 512)]
