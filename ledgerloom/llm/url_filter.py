@@ -4,8 +4,8 @@ A host's labels in reverse order make its canonical key, so a rule's host and al
 subdomains are one interval of keys. Pages and rules are sorted together, dealt into key
 ranges with about equal rows (a host with many pages spans several ranges, parted by a
 salt); a rule goes to each range its interval meets. A sweep over each sorted range keeps
-the stack of intervals that are open; for a page the longest rule on the stack whose path
-begins the page's path decides.
+the stack of intervals that are open, each with its rules by path; a page's path looks up
+its beginnings there, of the lengths that occur, and the longest rule decides.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def reversed_key(host: Column) -> Column:
 def apply_rules(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, str]], otherwise: str = "allow") -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
-    rules: (verdict, host, path) rows, of any number. The longest rule (host and path
+    rules: (verdict, host, path) rows, of any number; hosts count in lower case. The longest rule (host and path
     together; of equal ones that with the longer host) decides; rules that repeat count
     once, and where verdicts differ for one host and path, block stands. A page that no
     rule fits has a null rule and the verdict otherwise. A null url, or one without ://,
@@ -53,7 +53,7 @@ def apply_rules(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, st
     spark = pages.sparkSession
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame(list(rules), RULE_SCHEMA)
-    rules = rules.filter("host is not null and path is not null").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    rules = rules.filter("host is not null and path is not null").withColumn("host", F.translate("host", UPPER, LOWER)).groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     rules = rules.withColumn("key", reversed_key(F.col("host")))
     pages = canonical(pages).withColumn("salt", F.xxhash64("page_id", "path"))
     bounds = range_bounds(pages)
@@ -83,7 +83,7 @@ def apply_rules(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, st
 
     dealt = "at int, key string, kind int, page_id long, host string, path string, verdict string"
     events = bound_batches(pages).mapInArrow(deal_pages, dealt).unionByName(rules.select("host", "path", "verdict", "key").mapInArrow(deal_rules, dealt))
-    ranges = events.repartition(max(len(bounds) + 1, 1), "at").sortWithinPartitions("at", "key", "kind", "path")
+    ranges = events.repartitionById(len(bounds) + 1, F.col("at")).sortWithinPartitions("at", "key", "kind", "path")
     return ranges.mapInArrow(lambda batches: sweep(batches, otherwise), RESULT)
 
 
@@ -99,9 +99,24 @@ def range_bounds(pages: DataFrame) -> list[tuple[str, int]]:
     return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
 
 
+class Interval:
+    """The rules of one key: by path, and the paths' lengths, longest first."""
+
+    def __init__(self, key: str, host: str):
+        self.key, self.host, self.rules, self.lengths = key, host, {}, []
+
+    def add(self, path: str, verdict: str) -> None:
+        self.rules[path] = verdict
+        if len(path) not in self.lengths:
+            self.lengths = sorted([*self.lengths, len(path)], reverse=True)
+
+    def longest(self, path: str) -> str | None:
+        return next((path[:n] for n in self.lengths if n <= len(path) and path[:n] in self.rules), None)
+
+
 def sweep(batches, otherwise: str):
     """Pages of sorted events with the rule that decides; holds only the open intervals."""
-    stack: list[tuple[str, list[tuple[int, int, str, str, str]]]] = []
+    stack: list[Interval] = []
     now = None
     for b in batches:
         at, key, kind, page, host, path, verdict = (b.column(c).to_pylist() for c in ("at", "key", "kind", "page_id", "host", "path", "verdict"))
@@ -109,15 +124,16 @@ def sweep(batches, otherwise: str):
         for i in range(len(at)):
             if at[i] != now:
                 now, stack = at[i], []
-            while stack and not key[i].startswith(stack[-1][0]):
+            while stack and not key[i].startswith(stack[-1].key):
                 stack.pop()
             if not kind[i]:
-                if not stack or stack[-1][0] != key[i]:
-                    stack.append((key[i], []))
-                stack[-1][1].append((len(host[i]) + len(path[i]), len(host[i]), host[i], path[i], verdict[i]))
+                if not stack or stack[-1].key != key[i]:
+                    stack.append(Interval(key[i], host[i]))
+                stack[-1].add(path[i], verdict[i])
             else:
-                best = max((r for _, rules in stack for r in rules if path[i].startswith(r[3])), default=None)
-                out.append((page[i], host[i], path[i], best[2] + best[3] if best else None, best[4] if best else otherwise))
+                fits = ((len(x.host) + len(found), len(x.host), x, found) for x in stack if (found := x.longest(path[i])) is not None)
+                best = max(fits, key=lambda r: r[:2], default=None)
+                out.append((page[i], host[i], path[i], best[2].host + best[3] if best else None, best[2].rules[best[3]] if best else otherwise))
         if out:
             cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:])], names=["page_id", "host", "path", "rule", "verdict"])
