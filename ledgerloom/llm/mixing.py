@@ -16,6 +16,8 @@ from ledgerloom.llm.common import BLANKS, cut_lineage
 
 BLOCKS = 1_000_000
 SHARD_WORDS, SHARDS = 1 << 16, 20_000
+#: Sources or shards that are sent to all executors; more of them are joined by a shuffle.
+ROWS_TO_SEND = 200_000
 MOST = 3
 RESULT = ["doc_id", "size", "source_size", "target", "taken", "source"]
 
@@ -65,13 +67,16 @@ def mix(docs: DataFrame, weights=(1, 2, 3), seed: int = 0, blocks: int = BLOCKS)
 
     size: words of the text (null: 0). Sources in code point order, null last, weigh the
     given weights, repeating. taken: words that the mix takes, repeats counted, from 0 to
-    MOST times size; rows that repeat each give a row and are taken on their own. Sources
-    are totalled on the driver, and shards: no more than SHARDS and one for each source.
+    MOST times size; rows that repeat each give a row and are taken on their own. Documents
+    are dealt to shards by doc_id and text. Sources are totalled on the driver, and shards:
+    no more than SHARDS and one for each source. Long texts count whole.
     A corpus without words has targets of 0; an empty table gives an empty result. Other
     columns are not read.
     """
     spark = docs.sparkSession
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    send = lambda df, rows: F.broadcast(df) if rows <= ROWS_TO_SEND else df
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), part("doc_id"), F.lit(":"), part("text")))
     sized = cut_lineage(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
@@ -90,7 +95,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), seed: int = 0, blocks: int = BLOCKS)
         [(i, r[0], r[1], a, n) for i, (r, a, n) in enumerate(zip(found, aims, shards))],
         "number int, source string, source_size long, target double, shards long")
     dealt = (
-        sized.join(F.broadcast(sources), sized["source"].eqNullSafe(sources["source"]))
+        sized.join(send(sources, len(found)), sized["source"].eqNullSafe(sources["source"]))
         .select("doc_id", sized["source"], "size", "place", "number", "source_size", "target", (F.col("deal") % F.col("shards")).cast("int").alias("shard"))
     )
     of = {}
@@ -107,7 +112,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), seed: int = 0, blocks: int = BLOCKS)
     whole = F.expr("quota div greatest(shard_size, 1)")
     return (
         dealt.withColumn("before", before)
-        .join(F.broadcast(quota), ["number", "shard"])
+        .join(send(quota, len(quotas)), ["number", "shard"])
         .withColumn("taken", whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - whole * F.col("shard_size") - F.col("before"))))
         .select(*RESULT)
     )

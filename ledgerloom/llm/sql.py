@@ -36,7 +36,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 ORACLES["op7_mixing"] = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('0:' || coalesce(doc_id::VARCHAR, '')) AS digest
+         md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS digest
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number,
