@@ -47,8 +47,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rows = numbered(docs)
     classes = jaccard_join.join(rows.select(F.col("row").alias("doc_id"), "doc.text")).select(F.col("doc_id").alias("row"), "class_id")
-    first = F.min(F.struct("doc_id", F.xxhash64("text").alias("h"), "row")).alias("first")
-    firsts = rows.select("row", "doc.doc_id", "doc.text").join(classes, "row").groupBy("class_id").agg(first).select("first.row")
+    first = F.min(F.struct("doc_id", "h", "row")).alias("first")
+    firsts = rows.select("row", "doc.doc_id", F.xxhash64("doc.text").alias("h")).join(classes, "row").groupBy("class_id").agg(first).select("first.row")
     return rows.join(firsts, "row", "left_semi").select("doc.*")
 
 

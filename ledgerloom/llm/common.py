@@ -60,7 +60,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: for tables of which later steps read some columns only."""
     path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -306,15 +306,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, learn="true")
         def windows(batches):
             for b in batches:
                 ids, marks = b.column("doc_id").to_numpy(), b.column("label").to_numpy()
-                for k, hashes, triples in model.value.highest(b.column("text").to_pylist(), first):
-                    yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array([ids[k]], pa.int64()), "label": pa.array([marks[k]], pa.int32()),
-                        "hashes": pa.array([hashes.view(np.int64)], pa.list_(pa.int64())), "triples": pa.array([triples], pa.list_(pa.list_(pa.int64()))),
-                    })
-
-        found = sorted(sample.mapInArrow(windows, "doc_id long, label int, hashes array<long>, triples array<array<long>>").collect(), key=lambda r: r[0])
+                best = model.value.highest(b.column("text").to_pylist(), first)
+                at = np.array([k for k, _, _ in best], np.int64)
+                packed = lambda parts: pa.array([x.tobytes() for x in parts], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[at]), pa.array(marks[at], pa.int32()), packed(h for _, h, _ in best),
+                     packed(np.array([len(t) for t in ts], np.uint32) for _, _, ts in best), packed(np.concatenate(ts).astype(np.uint16) for _, _, ts in best)],
+                    names=["doc_id", "label", "hashes", "sizes", "triples"])
+
+        found = sorted(sample.mapInArrow(windows, "doc_id long, label int, hashes binary, sizes binary, triples binary").collect())
         model.unpersist()
-        return [(r[1], np.array(r[2], np.int64).view(np.uint64), [np.array(t, np.int64) for t in r[3]]) for r in found]
+        parts = lambda r: np.split(np.frombuffer(r[4], np.uint16).astype(np.int64), np.cumsum(np.frombuffer(r[3], np.uint32))[:-1])
+        return [(r[1], np.frombuffer(r[2], np.uint64), parts(r)) for r in found]
 
     network.train([label for label, n in marks.items() for _ in range(min(n, 1))], top)
     release(sample)
