@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     for job in ("bronze", "silver", "gold"):
         one = jobs.add_parser(job)
         one.add_argument("--database", help="overrides the settings file")
+        one.add_argument("--catalog", help="overrides the settings file")
         one.add_argument("--settings")
         if job == "bronze":
             one.add_argument("--root", required=True, help="folder of the raw CSV sets")
@@ -36,8 +37,8 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "synth":
         synth.write_dataset(spark, a.out, a.users, a.months, a.seed, a.start_month)
         return
-    s = settings.load_settings(a.settings, database=a.database)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {s.database}")
+    s = settings.load_settings(a.settings, database=a.database, catalog=a.catalog)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {s.namespace}")
     if a.job == "bronze":
         made = layers.bronze(spark, s, a.root)
     elif a.job == "silver":

@@ -63,12 +63,15 @@ def anomalies(scored: DataFrame) -> DataFrame:
     return scored.filter("is_anomaly").select(*ANOMALIES)
 
 
-def anomaly_recall(scored: DataFrame, window_days: int = 90, z_threshold: float = 3.0) -> DataFrame:
-    """One row: planted, caught and flagged outflows; recall and precision, null where there are none."""
+def anomaly_recall(scored: DataFrame, window_days: int = 90, z_threshold: float = 3.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """Planted, caught and flagged outflows; recall and precision, null where there are none.
+
+    One row, also of an empty table; or, with columns to go by, one for each of their values.
+    """
     planted, flagged = F.coalesce("is_planted_anomaly", F.lit(False)), F.col("is_anomaly")
     ratio = lambda of: F.when(F.col(of) > 0, F.col("caught") / F.col(of))
     return (
-        scored.agg(F.count_if(planted).alias("planted"), F.count_if(planted & flagged).alias("caught"), F.count_if(flagged).alias("flagged"))
+        scored.groupBy(*by).agg(F.count_if(planted).alias("planted"), F.count_if(planted & flagged).alias("caught"), F.count_if(flagged).alias("flagged"))
         .withColumns({
             "recall": ratio("planted"), "precision": ratio("flagged"),
             "z_threshold": F.lit(float(z_threshold)), "window_days": F.lit(window_days), "computed_at": F.current_timestamp(),

@@ -46,11 +46,13 @@ def _validation(spark, sf_dir):
 
 
 def _folder(spark) -> str:
-    """A new folder that driver and executors share."""
+    """A new folder that driver and executors share; a temporary one in local mode only."""
     import tempfile
     import uuid
 
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{shared}/ledger-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="ledgerloom-")
 
 
@@ -99,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_anomalies_7d": _scored(7),
     "anomalies": lambda s, d: _rounded(scoring.anomalies(scoring.score_anomalies(_silver(s, d), 7))),
     "anomaly_recall": lambda s, d: scoring.anomaly_recall(scoring.score_anomalies(_silver(s, d), 7), 7).drop("computed_at").withColumns({c: F.round(c, 6) for c in ("recall", "precision")}),
+    "anomaly_recall_by_user": lambda s, d: scoring.anomaly_recall(scoring.score_anomalies(_silver(s, d), 7), 7, by=("user_id",)).drop("computed_at").withColumns({c: F.round(c, 6) for c in ("recall", "precision")}),
     "validation_report": _validation,
     "rules_relation": lambda s, d: rules_frame(s, adapters.RULES),
     "ingest_transactions": _ingested,
@@ -216,6 +219,9 @@ ORACLES: dict[str, str] = {
     "anomaly_recall": f"""WITH {_scores(7)}, counts AS (
         SELECT count(*) FILTER (is_planted_anomaly) AS planted, count(*) FILTER (is_planted_anomaly AND is_anomaly) AS caught, count(*) FILTER (is_anomaly) AS flagged FROM scored)
       SELECT planted, caught, flagged, round(caught / nullif(planted, 0)::DOUBLE, 6) AS recall, round(caught / nullif(flagged, 0)::DOUBLE, 6) AS "precision", 3.0::DOUBLE AS z_threshold, 7 AS window_days FROM counts""",
+    "anomaly_recall_by_user": f"""WITH {_scores(7)}, counts AS (
+        SELECT user_id, count(*) FILTER (is_planted_anomaly) AS planted, count(*) FILTER (is_planted_anomaly AND is_anomaly) AS caught, count(*) FILTER (is_anomaly) AS flagged FROM scored GROUP BY user_id)
+      SELECT user_id, planted, caught, flagged, round(caught / nullif(planted, 0)::DOUBLE, 6) AS recall, round(caught / nullif(flagged, 0)::DOUBLE, 6) AS "precision", 3.0::DOUBLE AS z_threshold, 7 AS window_days FROM counts""",
     "rules_relation": """SELECT * FROM (VALUES (10, 'description', 'contains', 'purch', 'Shopping'), (20, 'merchant', 'equals', 'SIGNUP', 'Income'),
         (30, 'description', 'starts_with', 'view ', 'Browsing'), (40, 'merchant', 'regex', 'click|view', 'Engagement')) r(priority, field, operator, "value", category)""",
     "ingest_transactions": f"WITH {_LEDGER} SELECT * FROM ledger",

@@ -19,17 +19,23 @@ class Settings:
     anomaly_z_threshold: float = 3.0
     anomaly_window_days: int = 90
     anomaly_min_history: int = 5
+    catalog: str = ""
 
     def __post_init__(self) -> None:
-        if not all(re.fullmatch(r"[A-Za-z0-9_]+", part) for part in self.database.split(".")):
-            raise ContractError(f"database {self.database!r} must be plain names parted by dots")
+        if not all(re.fullmatch(r"[A-Za-z0-9_]+", part) for part in self.namespace.split(".")):
+            raise ContractError(f"catalog and database {self.namespace!r} must be plain names parted by dots")
         least = {"transfer_window_days": 0, "anomaly_window_days": 1, "anomaly_min_history": 2}
         for name, low in least.items():
             if getattr(self, name) < low:
                 raise ContractError(f"{name} must be {low} at least")
 
+    @property
+    def namespace(self) -> str:
+        """The database, in its catalog if one is named."""
+        return f"{self.catalog}.{self.database}" if self.catalog else self.database
+
     def table(self, name: str) -> str:
-        return f"{self.database}.{name}"
+        return f"{self.namespace}.{name}"
 
 
 def _mapping(path: Path) -> dict:

@@ -61,6 +61,13 @@ def test_recall(spark):
     assert anomalies.anomalies(anomalies.score_anomalies(frame(spark, [(0, 1)]))).collect() == []
 
 
+def test_recall_by_user(spark):
+    rows = [("a", True, True), ("a", True, False), ("a", False, True), ("b", None, False), ("c", True, True)]
+    df = spark.createDataFrame(rows, "user_id string, is_planted_anomaly boolean, is_anomaly boolean")
+    got = anomalies.anomaly_recall(df, by=("user_id",)).orderBy("user_id").collect()
+    assert [(r.user_id, r.planted, r.caught, r.flagged, r.recall, r.precision) for r in got] == [("a", 2, 1, 2, 0.5, 0.5), ("b", 0, 0, 0, None, None), ("c", 1, 1, 1, 1.0, 1.0)]
+
+
 def test_amounts_of_the_whole_contract(spark):
     """Squares of the largest amounts pass 38 digits; the scores then come from floats."""
     from datetime import date, timedelta

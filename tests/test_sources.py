@@ -78,7 +78,8 @@ def test_guarded_write(spark):
 def test_settings(tmp_path):
     assert settings.load_settings(database=None).anomaly_window_days == 90 and len(settings.load_rules()) == 10
     assert settings.load_settings(database="a.b").table("t") == "a.b.t"
-    for text in ("database: x\nodd: 1", "database: 'x\n'", "database: x\nanomaly_min_history: 1", "transfer_window_days: 4", "- 1"):
+    assert settings.load_settings(database="b", catalog="a").table("t") == "a.b.t"
+    for text in ("database: x\ncatalog: a b", "database: x\nodd: 1", "database: 'x\n'", "database: x\nanomaly_min_history: 1", "transfer_window_days: 4", "- 1"):
         put(tmp_path / "s.yml", text)
         with pytest.raises(ContractError):
             settings.load_settings(tmp_path / "s.yml")
@@ -89,6 +90,7 @@ def test_settings(tmp_path):
 
 def test_sample_is_stable(tmp_path):
     assert synth.write_sample(tmp_path) == {"accounts": 15, "transactions": 403, "balance_snapshots": 45}
+    # Of the public sample files accounts and balance_snapshots, byte for byte
     digest = {p.stem: hashlib.sha256(p.read_bytes()).hexdigest()[:12] for p in Path(tmp_path).glob("*.csv")}
     assert digest == {"accounts": "7b17c79a936b", "balance_snapshots": "47c9d560ea4c", "transactions": "2a6022394ebc"}
 
