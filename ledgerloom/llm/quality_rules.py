@@ -183,15 +183,12 @@ def pooled(rows: DataFrame) -> DataFrame:
     enough = lambda c: F.col(c) >= LEAST_GROUP
     groups = cut_lineage(rows.groupBy("own", "speech").agg(F.count_if(~F.col("base_failed")).alias("n")))
     spoken = groups.groupBy("speech").agg(F.sum("n").alias("spoken"), F.count_if(~enough("n")).alias("lacking"))
-    whole = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"))
-    asked = spoken.agg(F.coalesce(F.bool_or((F.col("lacking") > 0) & ~enough("spoken")), F.lit(False)).alias("asked"))
-    grp = F.when(enough("n"), F.col("own")).when(enough("spoken"), F.col("speech")).when(enough("all"), F.lit("all"))
-    feeds = F.array(
-        F.when(enough("n"), F.col("own")),
-        F.when((F.col("lacking") > 0) & enough("spoken"), F.col("speech")),
-        F.when(F.col("asked") & enough("all"), F.lit("all")),
-    )
-    return groups.join(spoken, "speech").crossJoin(whole).crossJoin(asked).select("own", grp.alias("grp"), F.array_compact(feeds).alias("feeds"))
+    whole = (groups.agg(F.sum("n")).first()[0] or 0) >= LEAST_GROUP
+    asked = whole and not spoken.filter((F.col("lacking") > 0) & ~enough("spoken")).isEmpty()
+    corpus = lambda there: F.lit("all" if there else None).cast("string")
+    grp = F.when(enough("n"), F.col("own")).when(enough("spoken"), F.col("speech")).otherwise(corpus(whole))
+    feeds = F.array(F.when(enough("n"), F.col("own")), F.when((F.col("lacking") > 0) & enough("spoken"), F.col("speech")), corpus(asked))
+    return groups.join(spoken, "speech").select("own", grp.alias("grp"), F.array_compact(feeds).alias("feeds"))
 
 
 def verdicts(docs: DataFrame, carry: str, cutoff: float = CUTOFF) -> DataFrame:
